@@ -115,6 +115,6 @@ FROM tiles""",
     "p5_points": f"""
 WITH {TILE_SQL}
 SELECT DISTINCT export_id, CAST(tile_pos AS INT) AS tile_pos, CAST(mask_pos AS INT) AS mask_pos, CAST(i AS INT) AS point_pos,
-  CAST(coalesce(json_extract(c[i + 1], '$[0]'), json_extract(c[i + 1], '$.x')) AS DOUBLE) AS px, CAST(coalesce(json_extract(c[i + 1], '$[1]'), json_extract(c[i + 1], '$.y')) AS DOUBLE) AS py
+  CAST(coalesce(json_extract(c[i + 1], '$[0]'), json_extract(c[i + 1], '$.x')) AS DOUBLE) + 0.0 AS px, CAST(coalesce(json_extract(c[i + 1], '$[1]'), json_extract(c[i + 1], '$.y')) AS DOUBLE) + 0.0 AS py
 FROM points, unnest(range(0, len(c))) AS u(i) WHERE json_type(c[i + 1]) <> 'NULL'""",
 }
