@@ -28,24 +28,55 @@ class KDTree:
                 self.order = self.order[np.lexsort((p[np.arange(self.n), axis], node))]
         self.points = points[self.order]
 
-    def within(self, queries: np.ndarray, radius: float, block: int = 4096):
-        """Pairs (index of a query, index of a point) at most ``radius`` apart, block by block."""
+    def within(self, queries: np.ndarray, radius: float | np.ndarray, block: int = 4096):
+        """Pairs (index of a query, index of a point) at most ``radius`` (one, or one a query) apart, block by block."""
+        radii = np.broadcast_to(np.asarray(radius, dtype=float) ** 2, len(queries))
         for begin in range(0, len(queries), block):
-            part = queries[begin : begin + block]
+            part, r2 = queries[begin : begin + block], radii[begin : begin + block]
             q, node = np.arange(len(part)), np.zeros(len(part), dtype=np.int64)
             for level in range(self.depth + 1):
                 if level:
                     q, node = np.repeat(q, 2), (np.repeat(node * 2, 2).reshape(-1, 2) + np.array([0, 1])).ravel()
                 gap = np.maximum(self.low[level][node] - part[q], 0) + np.maximum(part[q] - self.high[level][node], 0)
-                near = (gap * gap).sum(axis=1) <= radius * radius
+                near = (gap * gap).sum(axis=1) <= r2[q]
                 q, node = q[near], node[near]
             first, size = self.starts[-1][node], self.starts[-1][node + 1] - self.starts[-1][node]
             q = np.repeat(q, size)
             at = np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
             d = self.points[at] - part[q]
-            near = (d * d).sum(axis=1) <= radius * radius
+            near = (d * d).sum(axis=1) <= r2[q]
             yield q[near] + begin, self.order[at[near]]
 
+    def nearest(self, queries: np.ndarray, own: np.ndarray | None = None, names: np.ndarray | None = None) -> np.ndarray:
+        """Squared distance from each query to its nearest point, other than the one named as the query is; inf without one."""
+        best = np.full(len(queries), np.inf)
+        if not self.n:
+            return best
+        node = np.zeros(len(queries), dtype=np.int64)
+        for level in range(1, self.depth + 1):
+            gaps = []
+            for child in (node * 2, node * 2 + 1):
+                gap = np.maximum(self.low[level][child] - queries, 0) + np.maximum(queries - self.high[level][child], 0)
+                gaps.append((gap * gap).sum(axis=1))
+            node = node * 2 + (gaps[1] < gaps[0])
+        first, size = self.starts[-1][node], self.starts[-1][node + 1] - self.starts[-1][node]
+        q = np.repeat(np.arange(len(queries)), size)
+        at = np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+
+        def take(q: np.ndarray, at: np.ndarray) -> None:
+            d = ((self.points[at] - queries[q]) ** 2).sum(axis=1)
+            if own is not None:
+                d = np.where(names[self.order[at]] == own[q], np.inf, d)
+            np.minimum.at(best, q, d)
+
+        take(q, at)
+        place = np.empty(self.n, dtype=np.int64)
+        place[self.order] = np.arange(self.n)
+        span = np.sqrt(((self.high[0] - self.low[0]) ** 2).sum()) + np.sqrt((np.maximum(np.abs(queries - self.low[0]), np.abs(queries - self.high[0])) ** 2).sum(axis=1))
+        for q, p in self.within(queries, np.where(np.isfinite(best), np.sqrt(np.where(np.isfinite(best), best, 0)) * (1 + 1e-12), span), block=2048):
+            take(q, place[p])
+        return best
+
 
 def unit_vectors(x: np.ndarray, y: np.ndarray, sphere: float) -> np.ndarray:
     """Points of longitude ``x`` and latitude ``y``, given as lengths on a sphere of radius ``sphere``."""
