@@ -5,9 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of at most so many rows may be broadcast; more rows take a shuffled join.
@@ -42,11 +41,18 @@ def _remove(spark: SparkSession, path: str) -> None:
 class Table:
     """An intermediate result written as parquet, which any executor can read again."""
 
-    def __init__(self, df: DataFrame, partition_by: Iterable[str] = ()):
+    def __init__(self, df: DataFrame, count: Column | None = None):
+        """``count``: a condition; the rows that meet it are counted while writing, into ``counted``."""
         self.spark = df.sparkSession
         self.path = f"{scratch_root(self.spark)}/{uuid.uuid4().hex}"
         self.schema = df.schema
-        df.write.partitionBy(*partition_by).parquet(self.path)
+        self.counted = None
+        if count is None:
+            df.write.parquet(self.path)
+        else:
+            seen = Observation()
+            df.observe(seen, F.count(F.when(count, 1)).alias("n")).write.parquet(self.path)
+            self.counted = seen.get["n"]
 
     @property
     def df(self) -> DataFrame:
