@@ -120,7 +120,7 @@ def neighbour_graph(nodes: DataFrame, dims: list[str], reach: float, k: int = NE
     return Table(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct()).df
 
 
-def communities(links: DataFrame, levels: int = 6, moves: int = 6) -> DataFrame:
+def communities(links: DataFrame, levels: int = 4, moves: int = 4) -> DataFrame:
     """``node, community`` of every end of ``links`` (a, b, w): label moves by gain in modularity, then contraction.
 
     A move in an even pass may only go to a lower label, in an odd one to a higher, so neighbours can't swap for ever;
@@ -133,35 +133,32 @@ def communities(links: DataFrame, levels: int = 6, moves: int = 6) -> DataFrame:
     if not total:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("community"))
     for _ in range(levels):
-        degree = Table(edges.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k"))).df
-        label = degree.select("node", F.col("node").alias("c"), "k")
-        size = degree.count()
-        changed = 0
+        degree = Table(edges.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k"), F.bool_or(F.col("a") != F.col("b")).alias("linked")), F.col("linked"))
         outer = edges.where("a <> b")
+        # nodes without a link to another one never move
+        label = degree.df.where("linked").select("node", F.col("node").alias("c"), "k")
+        changed = 0
         for turn in range(moves):
             whole = label.groupBy("c").agg(F.sum("k").alias("tot"))
-            at = label.select(F.col("node").alias("b"), F.col("c").alias("to"))
-            pull = outer.join(at, "b").groupBy(F.col("a").alias("node"), "to").agg(F.sum("w").alias("w"))
-            own = label.join(whole, "c")
-            options = pull.join(whole.select(F.col("c").alias("to"), F.col("tot").alias("to_tot")), "to").join(own, "node")
+            own = label.join(whole, "c").select("node", "c", "k", "tot")
+            at = own.select(F.col("node").alias("b"), F.col("c").alias("to"), F.col("tot").alias("to_tot"))
+            pull = outer.join(at, "b").groupBy(F.col("a").alias("node"), "to", "to_tot").agg(F.sum("w").alias("w"))
             here = F.col("to") == F.col("c")
             gain = F.col("w") - F.col("k") * (F.col("to_tot") - F.when(here, F.col("k")).otherwise(0.0)) / F.lit(float(total))
             fair = here | ((F.col("to") < F.col("c")) if turn % 2 == 0 else (F.col("to") > F.col("c")))
             # one row per node: the gain of staying (nothing pulls: minus its own expectation) and the best fair move
             stay = F.coalesce(F.max(F.when(here, gain)), F.max(-F.col("k") * (F.col("tot") - F.col("k")) / F.lit(float(total))))
-            top = F.max(F.when(fair, F.struct(gain.alias("g"), (-F.col("to")).alias("to"))))
-            choice = options.groupBy("node").agg(F.first("c").alias("c"), F.first("k").alias("k"), stay.alias("stay"), top.alias("top"))
-            better = F.coalesce(F.col("top.g") > F.col("stay") + 1e-12, F.lit(False))
-            moved = choice.select("node", F.when(better, -F.col("top.to")).otherwise(F.col("c")).alias("c"), "k", better.alias("moved"))
-            rest = label.join(choice.select("node"), "node", "left_anti").select("node", "c", "k", F.lit(False).alias("moved"))
-            step = Table(moved.unionByName(rest)).df
-            n = step.where("moved").count()
-            changed += n
-            label = step.select("node", "c", "k")
-            if n <= 0.005 * size and turn % 2:
+            best = F.max(F.when(fair, gain))
+            choice = pull.join(own, "node").groupBy("node", "c", "k").agg(stay.alias("stay"), best.alias("best"), F.max_by(F.col("to"), F.when(fair, F.struct(gain.alias("g"), (-F.col("to")).alias("t")))).alias("to"))
+            better = F.coalesce(F.col("best") > F.col("stay") + 1e-12, F.lit(False))
+            step = Table(choice.select("node", F.when(better, F.col("to")).otherwise(F.col("c")).alias("c"), "k", better.alias("moved")), F.col("moved"))
+            changed += step.counted
+            label = step.df.select("node", "c", "k")
+            if step.counted <= 0.005 * degree.counted and turn % 2:
                 break
-        to = label.select("node", "c")
-        member = Table(to.withColumnRenamed("c", "community") if member is None else member.join(to.withColumnRenamed("node", "community"), "community").select("node", F.col("c").alias("community"))).df
+        to = degree.df.select("node").join(label.select("node", "c"), "node", "left").select("node", F.coalesce("c", "node").alias("c"))
+        to = Table(to).df
+        member = to.withColumnRenamed("c", "community") if member is None else Table(member.join(to.withColumnRenamed("node", "community"), "community").select("node", F.col("c").alias("community"))).df
         if not changed:
             break
         edges = Table(edges.join(to.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(to.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b").groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w"))).df

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.session import Table, bounded
+from lamella.session import Table
 
 
 def _undirected(pairs: DataFrame) -> DataFrame:
@@ -35,23 +35,23 @@ def _trees(edges: DataFrame) -> Table:
     hook.drop()
     while True:
         up = now.df.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        then = Table(now.df.join(up, F.col("root") == F.col("u")).select("node", F.col("v").alias("root"), (F.col("v") != F.col("root")).alias("moved")))
+        then = Table(now.df.join(up, F.col("root") == F.col("u")).select("node", F.col("v").alias("root"), (F.col("v") != F.col("root")).alias("moved")), F.col("moved"))
         now.drop()
         now = then
-        if now.df.where("moved").limit(1).count() == 0:
+        if not now.counted:
             return now
 
 
 def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, group_id`` for every node of a pair of different nodes; ``group_id`` is the smallest node of its group."""
-    edges = Table(_undirected(pairs.select(F.col(a).alias("a"), F.col(b).alias("b"))))
+    edges = Table(_undirected(pairs.select(F.col(a).alias("a"), F.col(b).alias("b"))), F.lit(True))
     maps: list[Table] = []
-    while edges.df.limit(1).count():
+    while edges.counted:
         trees = _trees(edges.df)
         maps.append(trees)
-        m = bounded(trees.df.select("node", "root"))
+        m = trees.df.select("node", "root")
         moved = edges.df.join(m.withColumnsRenamed({"node": "a", "root": "ra"}), "a").join(m.withColumnsRenamed({"node": "b", "root": "rb"}), "b")
-        new = Table(_undirected(moved.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+        new = Table(_undirected(moved.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), F.lit(True))
         edges.drop()
         edges = new
     if not maps:
@@ -60,7 +60,7 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     label = maps[-1].df.select("node", F.col("root").alias("group_id"))
     for m in reversed(maps[:-1]):
         later = label.withColumnsRenamed({"node": "n", "group_id": "g"})
-        label = Table(m.df.join(bounded(later), F.col("root") == F.col("n"), "left").select("node", F.coalesce("g", "root").alias("group_id"))).df
+        label = Table(m.df.join(later, F.col("root") == F.col("n"), "left").select("node", F.coalesce("g", "root").alias("group_id"))).df
     return label
 
 
