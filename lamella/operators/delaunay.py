@@ -139,7 +139,9 @@ def _look_again(radius: int | None):
 def _settled(state: DataFrame, radius: int) -> DataFrame:
     """``state`` of live pairs plus ``sure``: whether a sparing circle lies within ``radius`` of i."""
     s = F.greatest(F.lit(0.0) - F.col("right"), F.least(F.lit(0.0), F.col("left")))
-    return state.withColumn("sure", F.col("d2") * (1 + s * s) <= float(radius) * radius)
+    # a pair that saw no third point at all may be the whole of its slide's line, so it isn't sure yet
+    other = F.least("left", "right") < float("inf")
+    return state.withColumn("sure", other & (F.col("d2") * (1 + s * s) <= float(radius) * radius))
 
 
 def _edges(state: DataFrame) -> DataFrame:

@@ -102,19 +102,23 @@ def node_measures(cells: DataFrame, edges: DataFrame) -> DataFrame:
     seen = f.select(F.col("cell_id").alias("other"), F.col("cell_type").alias("t"), F.col("role").alias("r"), *CHANNELS)
     j = near.join(seen, "other")
     real = F.col("other") != F.col("cell_id")
-    by_type = j.groupBy("slide", "cell_id", "t").agg(
-        F.sum(real.cast("int")).alias("k"), F.count("*").alias("n"),
-        *[F.sum((real & (F.col("r") == r)).cast("int")).alias(f"n_{r}") for r in ROLES],
-        *[F.avg(c).alias(f"a_{c}") for c in CHANNELS], *[F.var_pop(c).alias(f"v_{c}") for c in CHANNELS],
+    # a neighbourhood in a plane graph of short edges is small, so its types may be listed
+    out = j.groupBy("slide", "cell_id").agg(
+        F.sum(real.cast("int")).alias("degree"), F.array_sort(F.collect_list(F.when(real, F.col("t")))).alias("ts"),
+        *[F.sum((real & (F.col("r") == r)).cast("int")).alias(f"n_{r}") for r in ROLES], *[F.stddev_pop(c).alias(f"sd_{c}") for c in CHANNELS],
     )
-    # types are merged by count, mean and variance; the mean over all is needed for the variance
-    n = F.sum("n")
-    mean = {c: F.sum(F.col("n") * F.col(f"a_{c}")) / n for c in CHANNELS}
-    k = F.sum("k")
-    sums = [k.alias("degree"), *[F.sum(f"n_{r}").alias(f"n_{r}") for r in ROLES], F.collect_list(F.when(F.col("k") > 0, F.col("k").cast("double"))).alias("ks")]
-    spread = [F.sqrt(F.greatest(F.sum(F.col("n") * (F.col(f"v_{c}") + F.col(f"a_{c}") ** 2)) / n - mean[c] ** 2, F.lit(0.0))).alias(f"sd_{c}") for c in CHANNELS]
-    out = by_type.groupBy("slide", "cell_id").agg(*sums, *spread)
-    return Table(out.withColumn("entropy", entropy(F.col("ks"))).drop("ks")).df
+    counts = F.transform(F.array_distinct("ts"), lambda t: F.size(F.filter("ts", lambda u: u == t)).cast("double"))
+    return Table(out.withColumn("entropy", entropy(counts)).drop("ts")).df
+
+
+def neighbor_mean(values: DataFrame, edges: DataFrame, include_self: bool = True) -> DataFrame:
+    """``slide, cell_id, mean`` of ``value`` over a cell's neighbours; alone it keeps its own value, or null without itself."""
+    own = values.select("slide", "cell_id", F.col("value").alias("own"))
+    near = directed(edges)
+    if include_self:
+        near = near.unionByName(own.select("slide", "cell_id", F.col("cell_id").alias("other")))
+    mean = near.join(values.select(F.col("cell_id").alias("other"), "value"), "other").groupBy("cell_id").agg(F.avg("value").alias("mean"))
+    return own.join(mean, "cell_id", "left").select("slide", "cell_id", "mean")
 
 
 def mixedness(nodes: DataFrame) -> Column:
