@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _named(df: DataFrame, error: float) -> DataFrame:
     names = ("p10", "median", "p90")
-    return df.select("role", "measure", "n", *[F.round(F.col("percents")[i], 6).alias(c) for i, c in enumerate(names)], F.lit(error).alias("rank_error"))
+    return df.select("role", "measure", "n", *[F.round(F.col("percents")[i], 9).alias(c) for i, c in enumerate(names)], F.lit(error).alias("rank_error"))
 
 
 def _measures(spark: SparkSession, d: str) -> DataFrame:
@@ -92,7 +92,7 @@ c AS (SELECT cell_id, coalesce({_LABEL.format("c.role")}, r.r, 'other') AS role,
   FROM cells c LEFT JOIN r ON {_LABEL.format("c.cell_type")} = r.t),
 v AS (SELECT DISTINCT cell_id, role, 'area' AS measure, area AS v FROM c WHERE isfinite(area)
   UNION ALL SELECT DISTINCT cell_id, role, 'eccentricity', eccentricity FROM c WHERE isfinite(eccentricity))
-SELECT role, measure, count(*) AS n, round(quantile_cont(v, 0.1), 6) AS p10, round(quantile_cont(v, 0.5), 6) AS median, round(quantile_cont(v, 0.9), 6) AS p90, 0.0::DOUBLE AS rank_error
+SELECT role, measure, count(*) AS n, round(quantile_cont(v, 0.1), 9) AS p10, round(quantile_cont(v, 0.5), 9) AS median, round(quantile_cont(v, 0.9), 9) AS p90, 0.0::DOUBLE AS rank_error
 FROM v GROUP BY 1, 2""",
     "p6_found": """
 WITH RECURSIVE k AS (SELECT DISTINCT cell_id FROM cells),
