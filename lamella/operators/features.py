@@ -226,6 +226,26 @@ def cluster_features(cells: DataFrame, hull: DataFrame) -> DataFrame:
     return _complete(out.unionByName(one).unionByName(o.select("slide", F.inline(both))), cells, names)
 
 
+def _names() -> list[str]:
+    stats = ("mean", "std", "p10", "p90")
+    names = ["slide__n_cells", "slide__tissue_area_mm2", "slide__mean_neighbors_per_cell", "comp__density_per_mm2"]
+    names += [f"comp__{r}_frac" for r in ROLES] + ["comp__tumor_immune_ratio", "comp__role_entropy"]
+    names += [f"morph__{c}__{k}" for c in CHANNELS for k in (*stats, "skew")] + [f"morph_tumor__{c}__{k}" for c in TUMOR_CHANNELS for k in stats]
+    names += [f"diversity__{c}_{part}__{k}" for c in CHANNELS for part in ("local_sd", "at_type_boundary") for k in stats]
+    names += [f"diversity__cell_type_diversity__{k}" for k in ("mean", "std", "p50", "p90")] + ["diversity__neighborhood_mixedness__mean", "diversity__cross_type_edge_frac"]
+    cluster = ("n_clusters", "clustered_frac", "mean_cluster_size", "largest_cluster_size", "mean_cluster_area_mm2", "mean_cluster_density")
+    names += [f"spatil__{r}__{k}" for r in CLUSTER_ROLES for k in cluster] + ["spatil__immune_cluster_roundness__mean", "spatil__largest_immune_cluster_area_mm2"]
+    for a, b in PAIRS:
+        names += [f"spatil__{a}_to_{b}__nndist_um__{k}" for k in ("median", "p10", "p90")]
+        names += [f"spatil__{a}_near_{b}__frac", f"spatil__{a}_cluster_meets_{b}_cluster__frac", f"spatil__{a}_cluster_overlap_{b}_cluster__mean_ratio"]
+    names += ["spatil__intratumoral_vs_stromal_immune", *[f"spatil__tumor_local_immune_frac__{k}" for k in ("mean", "std", "p50", "p90")], "spatil__tumor_with_immune_neighbor_frac"]
+    return names + [f"spatil__{r}_same_role_frac" for r in CLUSTER_ROLES] + ["spatil__immune_tumor_edge_enrichment", "spatil__immune_spatial_dispersion"]
+
+
+#: The 144 columns of the wide feature table.
+FEATURES = _names()
+
+
 def all_features(cells: DataFrame, edges: DataFrame) -> DataFrame:
     """The 144 features of every slide as ``slide, feature, value``."""
     nodes = node_measures(cells, edges)

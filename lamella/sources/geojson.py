@@ -26,7 +26,7 @@ def _feature(kind: str, geometry: Column, name: Column, rgb: Column, measurement
 
 def hull_features(hulls: DataFrame, mpp: DataFrame) -> DataFrame:
     """``slide, role, cluster, feature``: cluster hulls as closed polygons in px; hulls without area are left out."""
-    points = F.transform(F.sequence(F.lit(0), F.size("ring") / 2 - 1), lambda i: F.array(*[F.round(F.get("ring", (2 * i + k).cast("int")) / 10 / F.col("mpp"), 2) for k in (0, 1)]))
+    points = F.transform(F.sequence(F.lit(0), (F.size("ring") / 2 - 1).cast("int")), lambda i: F.array(*[F.round(F.get("ring", (2 * i + k).cast("int")) / 10 / F.col("mpp"), 2) for k in (0, 1)]))
     h = hulls.where("ring is not null and area > 0").join(mpp, "slide").withColumn("pts", points)
     geometry = F.struct(F.lit("Polygon").alias("type"), F.array(F.concat("pts", F.slice("pts", 1, 1))).alias("coordinates"))
     m = F.struct(F.col("n").alias("n_cells"), F.round(F.col("area") / 100, 3).alias("area_um2"))
