@@ -55,7 +55,7 @@ class _Pairs:
         ax, ay, bx, by = self.ix[pair] - kx, self.iy[pair] - ky, self.jx[pair] - kx, self.jy[pair] - ky
         cross, dot = ax * by - ay * bx, ax * bx + ay * by
         own = (k == self.i[pair]) | (k == self.j[pair])
-        np.logical_or.at(self.between, pair[(cross == 0) & (dot < 0) & ~own], True)
+        self.between[pair[(cross == 0) & (dot < 0) & ~own]] = True
         for side, value, ids in ((cross > 0, self.left, self.left_id), (cross < 0, self.right, self.right_id)):
             p, cot, who = pair[side], dot[side] / np.abs(cross[side]), k[side]
             if not len(p):
