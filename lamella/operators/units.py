@@ -141,12 +141,12 @@ def cells_in_um(cells: DataFrame, units: DataFrame, grid: float = 0.1) -> DataFr
 
     Rows with null or NaN coordinates are out.
     """
-    u = units.select(F.col("delivery_id").alias("__d"), F.col("slide").alias("__s"), F.col("coord_unit").alias("__c"), "unit", "um")
+    u = units.select(F.col("delivery_id").alias("__d"), F.col("slide").alias("__s"), F.col("coord_unit").alias("__c"), F.col("unit").alias("__u"), F.col("um").alias("__f"))
     on = F.expr("delivery_id <=> __d and slide <=> __s and coord_unit <=> __c")
     known = cells.where("cx is not null and cy is not null and not isnan(cx) and not isnan(cy)")
     joined = known.join(u, on)
-    q = lambda c: F.round(F.col(c).cast("double") * F.col("um") / grid).cast("bigint")
-    return joined.withColumn("qx", q("cx")).withColumn("qy", q("cy")).drop("__d", "__s", "__c", "um")
+    q = lambda c: F.round(F.col(c).cast("double") * F.col("__f") / grid).cast("bigint")
+    return joined.withColumns({"qx": q("cx"), "qy": q("cy"), "unit": F.col("__u")}).drop("__d", "__s", "__c", "__u", "__f")
 
 
 def ring_units(documents: DataFrame, slides: DataFrame, mpp: DataFrame) -> DataFrame:

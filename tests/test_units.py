@@ -77,7 +77,7 @@ def test_found(spark):
 def test_cells_on_grid(spark):
     cells, deliveries, docs, slides, _ = _tables(spark)
     u = units.position_units(cells, deliveries, docs, slides)
-    rows = {(r.cell_id, r.delivery_id): (r.qx, r.qy) for r in units.cells_in_um(cells.withColumn("unit_price", F.lit(1)), u).collect()}
+    rows = {(r.cell_id, r.delivery_id): (r.qx, r.qy) for r in units.cells_in_um(cells.withColumns({c: F.lit(1) for c in ("unit", "um", "qx", "mpp")}), u).collect()}
     assert rows == {(1, 1): (9750, 4750), (2, 1): (250, 125), (1, 2): (9750, 4750), (4, 3): (9800, 100), (5, 4): (5, 0)}
 
 
