@@ -14,19 +14,21 @@ Rows with a null in a feature are out; repeated rows of one id count once; an em
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamella.llm.components import components
 from lamella.session import Table, bounded
 
 BLOCK, NEIGHBOURS, ROUNDS, BITS = 8192, 10, 3, 12
-#: A candidate group must hold this part of all records to be checked, so there are at most 1 / CANDIDATE of them.
-CANDIDATE = 0.0025
+#: Cells on each side of a centre's cell; rounding of measures that a distance may have.
+WINDOW, SLACK = 3, 1e-9
 
 
 def descend(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -165,15 +167,19 @@ def communities(links: DataFrame, levels: int = 4, moves: int = 4) -> DataFrame:
     return member
 
 
+def valid_records(records: DataFrame, dims: list[str]) -> DataFrame:
+    """``id, *dims``, one row per id, without nulls."""
+    for c in dims:
+        records = records.where(F.col(c).isNotNull() & ~F.isnan(c))
+    return Table(records.select("id", *[F.col(c).cast("double").alias(c) for c in dims]).where("id is not null").dropDuplicates(["id"])).df
+
+
 class Clusters:
     """Nodes, links and communities of records ``id, *dims`` (numbers, scaled so that 1 is the same step in each)."""
 
     def __init__(self, records: DataFrame, dims: list[str], reach: float):
         self.dims, self.reach = dims, reach
-        valid = records
-        for c in dims:
-            valid = valid.where(F.col(c).isNotNull() & ~F.isnan(c))
-        self.records = Table(valid.select("id", *[F.col(c).cast("double").alias(c) for c in dims]).where("id is not null").dropDuplicates(["id"])).df
+        self.records = valid_records(records, dims)
         nodes = self.records.groupBy(*dims).agg(F.min("id").alias("node"), F.count("*").alias("weight"))
         self.nodes = Table(nodes).df
         self.links = Table(neighbour_graph(self.nodes, dims, reach).withColumn("w", 1 - F.col("d") / reach)).df
@@ -202,43 +208,88 @@ class Clusters:
         typical = F.array_sort(F.collect_list(F.when(F.col("r") <= top, F.struct("r", "node"))))
         return ranked.groupBy("kind").agg(F.sum("weight").alias("size"), F.transform(typical, lambda s: s["node"]).alias("typical"))
 
-    def isolated_groups(self, total: int, inner: float = 0.5, outer: float = 0.9, share: float = 0.01) -> DataFrame:
-        """``id, group_id``: groups of at least three records and ``share`` of ``total`` within ``inner`` of a centre that every other record is ``outer`` from.
-
-        Communities that a link joins are consolidated; the middle of each large one's box is a centre to check, and
-        once more the middle of what lies around it. The check is exact, over all records.
-        """
-        between = self.links.join(self.member.withColumnsRenamed({"node": "a", "community": "ca"}), "a").join(self.member.withColumnsRenamed({"node": "b", "community": "cb"}), "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        joined = components(between.distinct())
-        whole = self.member.join(joined, F.col("community") == joined["node"], "left").select(self.member["node"], F.coalesce("group_id", "community").alias("g"))
-        box = self.nodes.join(whole, "node").groupBy("g").agg(F.sum("weight").alias("n"), *[f(c).alias(f"{w}_{c}") for c in self.dims for f, w in ((F.min, "lo"), (F.max, "hi"))])
-        large = box.where(F.col("n") >= CANDIDATE * total)
-        middle = [((F.col(f"lo_{c}") + F.col(f"hi_{c}")) / 2).alias(c) for c in self.dims]
-        dims = self.dims
-
-        def around(centres: np.ndarray, radius: float) -> DataFrame:
-            def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for pdf in batches:
-                    x = pdf[dims].to_numpy()
-                    d = np.zeros((len(x), len(centres)))
-                    for j in range(x.shape[1]):
-                        np.maximum(d, np.abs(x[:, j, None] - centres[None, :, j]), out=d)
-                    row, centre = np.nonzero(d < radius)
-                    yield pdf.iloc[row].assign(centre=centre, d=d[row, centre])
-
-            return self.records.mapInPandas(work, "id bigint, " + ", ".join(f"{c} double" for c in dims) + ", centre int, d double")
-
-        empty = self.records.select("id", F.col("id").alias("group_id")).limit(0)
-        centres = np.array([[r[c] for c in dims] for r in large.select(*middle).collect()])
-        if not len(centres):
-            return empty
-        again = around(centres, (inner + outer) / 2).groupBy("centre").agg(*[((F.min(c) + F.max(c)) / 2).alias(c) for c in dims])
-        centres = np.unique(np.concatenate([centres, [[r[c] for c in dims] for r in again.collect()]]), axis=0)
-        slack = 1e-9
-        found = Table(around(centres, outer - slack)).df
-        state = found.groupBy("centre").agg(F.count("*").alias("n"), F.max("d").alias("far"), F.min("id").alias("group_id"))
-        good = state.where((F.col("far") <= inner + slack) & (F.col("n") >= 3) & (F.col("n") >= share * total))
-        return found.join(bounded(good.select("centre", "group_id")), "centre").select("id", "group_id").distinct()
+
+def cells_in_windows(n: np.ndarray, lo: np.ndarray, hi: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum of ``n``, least ``lo`` and greatest ``hi`` over all windows of ``wide`` cells a side; ``lo`` and ``hi`` have one array per measure in front."""
+    for axis in range(n.ndim):
+        n = sliding_window_view(n, wide, axis).sum(axis=-1)
+        lo = sliding_window_view(lo, wide, axis + 1).min(axis=-1)
+        hi = sliding_window_view(hi, wide, axis + 1).max(axis=-1)
+    return n, lo, hi
+
+
+def candidate_boxes(records: DataFrame, dims: list[str], least: int, inner: float, outer: float) -> DataFrame:
+    """``lo_*, hi_*``: the tight boxes of all sets of at least ``least`` records that may be a group; no group is missed.
+
+    Space is cut into cells of a side just under ``outer / 4``. For any centre, the records of the window of 3 cells on
+    every side of its cell are nearer than ``outer``, so they are the group if there is one; hence at most one set per
+    cell. A window lies in two blocks of 7 cells per measure; sums over such blocks leave at most 2^d / share of them,
+    each of at most 14^d cells, however many the records are.
+    """
+    d, side, wide = len(dims), outer / (WINDOW + 1) * 0.995, 2 * WINDOW + 1
+    cell = [F.floor(F.col(c) / side).alias(f"k_{c}") for c in dims]
+    ends = [f(c).alias(f"{w}_{c}") for c in dims for f, w in ((F.min, "lo"), (F.max, "hi"))]
+    fine = records.groupBy(*cell).agg(F.count("*").alias("n"), *ends)
+    fine = Table(fine.select("*", *[F.floor(F.col(f"k_{c}") / wide).alias(f"b_{c}") for c in dims])).df
+    blocks, starts = [f"b_{c}" for c in dims], [f"s_{c}" for c in dims]
+    shifts = F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(at, starts)]) for at in itertools.product((0, 1), repeat=d)])).alias("at")
+    pairs = Table(fine.groupBy(*blocks).agg(F.sum("n").alias("n")).select(*blocks, "n", shifts).select(*blocks, "n", *[(F.col(b) - F.col(f"at.{s}")).alias(s) for b, s in zip(blocks, starts)])).df
+    heavy = pairs.groupBy(*starts).agg(F.sum("n").alias("whole")).where(F.col("whole") >= least).select(*starts)
+    held = fine.join(bounded(Table(pairs.join(bounded(Table(heavy).df), starts).select(*blocks, *starts)).df), blocks)
+    slack = SLACK
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf[starts].iloc[0].to_numpy(dtype=np.int64) * wide
+        at = tuple((pdf[[f"k_{c}" for c in dims]].to_numpy(dtype=np.int64) - first).T)
+        n, lo, hi = np.zeros((2 * wide,) * d, dtype=np.int64), np.full((d, *(2 * wide,) * d), np.inf), np.full((d, *(2 * wide,) * d), -np.inf)
+        n[at] = pdf["n"]
+        for j, c in enumerate(dims):
+            lo[j][at], hi[j][at] = pdf[f"lo_{c}"], pdf[f"hi_{c}"]
+        n, lo, hi = cells_in_windows(n, lo, hi, wide)
+        fits = n >= least
+        for j in range(d):
+            centre = ((first[j] + WINDOW + np.arange(n.shape[j])) * side).reshape([-1 if i == j else 1 for i in range(d)])
+            # a set without records has infinite ends, which fit nothing
+            fits &= (hi[j] - lo[j] <= 2 * (inner + slack)) & (hi[j] - inner - slack <= centre + side + slack) & (lo[j] + inner + slack >= centre - slack)
+        out = np.concatenate([lo[:, fits].T, hi[:, fits].T], axis=1)
+        return pd.DataFrame(np.unique(out, axis=0), columns=[f"lo_{c}" for c in dims] + [f"hi_{c}" for c in dims])
+
+    return held.groupBy(*starts).applyInPandas(work, ", ".join(f"{w}_{c} double" for w in ("lo", "hi") for c in dims)).distinct()
+
+
+def isolated_groups(records: DataFrame, dims: list[str], total: int, inner: float = 0.5, outer: float = 0.9, share: float = 0.01) -> DataFrame:
+    """``id, group_id``: groups of at least three records and ``share`` of ``total`` within ``inner`` of a centre that every other record is ``outer`` from.
+
+    All sets that may be groups are checked over all records: the middle of the set's box, and the middle of what lies
+    around it, are the centres. A record of several groups comes out with each.
+    """
+    least = max(3, math.ceil(share * total - SLACK))
+    empty = records.select("id", F.col("id").alias("group_id")).limit(0)
+    found = candidate_boxes(records, dims, least, inner, outer).collect()
+    if not found:
+        return empty
+    lo, hi = (np.array([[r[f"{w}_{c}"] for c in dims] for r in found]) for w in ("lo", "hi"))
+    schema = "id bigint, " + ", ".join(f"{c} double" for c in dims) + ", centre int, d double"
+
+    def around(centres: np.ndarray, radius: float) -> DataFrame:
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                x = pdf[dims].to_numpy()
+                d = np.zeros((len(x), len(centres)))
+                for j in range(x.shape[1]):
+                    np.maximum(d, np.abs(x[:, j, None] - centres[None, :, j]), out=d)
+                row, centre = np.nonzero(d < radius)
+                yield pdf.iloc[row].assign(centre=centre, d=d[row, centre])
+
+        return records.mapInPandas(work, schema)
+
+    centres = (lo + hi) / 2
+    again = around(centres, (inner + outer) / 2).groupBy("centre").agg(*[((F.min(c) + F.max(c)) / 2).alias(c) for c in dims])
+    centres = np.unique(np.concatenate([centres, [[r[c] for c in dims] for r in again.collect()]]), axis=0)
+    held = Table(around(centres, outer - SLACK)).df
+    state = held.groupBy("centre").agg(F.count("*").alias("n"), F.max("d").alias("far"), F.min("id").alias("group_id"))
+    good = state.where((F.col("far") <= inner + SLACK) & (F.col("n") >= least))
+    return held.join(bounded(good.select("centre", "group_id")), "centre").select("id", "group_id").distinct()
 
 
 def patch_records(patches: DataFrame) -> DataFrame:
@@ -259,4 +310,4 @@ def patch_clusters(patches: DataFrame) -> Clusters:
 def patch_groups(patches: DataFrame) -> DataFrame:
     """``patch_id, group_id`` of the isolated groups of patches."""
     total = patches.where("patch_id is not null").select("patch_id").distinct().count()
-    return patch_clusters(patches).isolated_groups(total).withColumnRenamed("id", "patch_id")
+    return isolated_groups(valid_records(patch_records(patches), DIMS), DIMS, total).withColumnRenamed("id", "patch_id")

@@ -96,6 +96,22 @@ def test_patch_groups(spark):
     assert got == {i: 0 for i in range(60)} | {i: 60 for i in range(60, 100)}
 
 
+PATCH = "patch_id bigint, shannon double, simpson double, richness bigint, n_cells bigint"
+
+
+def _alone(first, n):
+    """Patches that are far from all others, each of another richness."""
+    return [(first + i, 0.1, 0.1, 50 + i, 5) for i in range(n)]
+
+
+def test_group_of_many_slices(spark):
+    # 52 values of n_cells, each with more vectors than a node has neighbours: no slice is linked to another
+    rng = np.random.default_rng(8)
+    rows = [(12 * k + i, 1.5 + rng.uniform(0, 0.001), 0.7 + rng.uniform(0, 0.0005), 6, 127 + k) for k in range(52) for i in range(12)]
+    got = {r.patch_id: r.group_id for r in clusters.patch_groups(spark.createDataFrame(rows + _alone(1000, 5000), PATCH)).collect()}
+    assert got == {i: 0 for i in range(624)}
+
+
 def test_kinds_and_descriptions(spark):
     c = clusters.patch_clusters(_patches(spark))
     kinds = {r.id: r.kind for r in c.of_records().collect()}
