@@ -257,11 +257,48 @@ def candidate_boxes(records: DataFrame, dims: list[str], least: int, inner: floa
     return held.groupBy(*starts).applyInPandas(work, ", ".join(f"{w}_{c} double" for w in ("lo", "hi") for c in dims)).distinct()
 
 
+def foremost(lo: np.ndarray, hi: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of boxes ``lo`` to ``hi``, cut to ``low`` to ``high``, those that lie in no other."""
+    order = np.argsort(-(np.minimum(hi, high + 1) - np.maximum(lo, low - 1)).sum(axis=1), kind="stable")
+    lo, hi, keep_lo, keep_hi = lo[order], hi[order], [], []
+    while len(lo):
+        keep_lo.append(lo[0])
+        keep_hi.append(hi[0])
+        rest = ~((lo >= lo[0]) & (hi <= hi[0])).all(axis=1)
+        lo, hi = lo[rest], hi[rest]
+    return np.array(keep_lo).reshape(-1, len(low)), np.array(keep_hi).reshape(-1, len(low))
+
+
+def has_free_point(low: np.ndarray, high: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> bool:
+    """Whether the closed box ``low`` to ``high`` has a point in none of the open boxes ``lo`` to ``hi``. Exact.
+
+    A box over the middle is avoided on one of its sides only, and what is left there is less than half as wide.
+    """
+    left = [(low, high)]
+    while left:
+        a, b = left.pop()
+        if ((lo < a) & (hi > b)).all(axis=1).any():
+            continue
+        middle = (a + b) / 2
+        over = np.flatnonzero(((lo < middle) & (hi > middle)).all(axis=1))
+        if not len(over):
+            return True
+        sides = (lo[over] >= a).sum(axis=1) + (hi[over] <= b).sum(axis=1)
+        k = over[np.argmin(sides)]
+        for j in range(len(a)):
+            if lo[k, j] >= a[j]:
+                left.append((a, np.where(np.arange(len(a)) == j, lo[k, j], b)))
+            if hi[k, j] <= b[j]:
+                left.append((np.where(np.arange(len(a)) == j, hi[k, j], a), b))
+    return False
+
+
 def isolated_groups(records: DataFrame, dims: list[str], total: int, inner: float = 0.5, outer: float = 0.9, share: float = 0.01) -> DataFrame:
     """``id, group_id``: groups of at least three records and ``share`` of ``total`` within ``inner`` of a centre that every other record is ``outer`` from.
 
-    All sets that may be groups are checked over all records: the middle of the set's box, and the middle of what lies
-    around it, are the centres. A record of several groups comes out with each.
+    All sets that may be groups are checked over all records: a set's centres fill a box, every other record blocks
+    an open box of them, and a group is a set with a centre left. A set that holds a smaller group besides other records
+    is none of its own.
     """
     least = max(3, math.ceil(share * total - SLACK))
     empty = records.select("id", F.col("id").alias("group_id")).limit(0)
@@ -269,27 +306,47 @@ def isolated_groups(records: DataFrame, dims: list[str], total: int, inner: floa
     if not found:
         return empty
     lo, hi = (np.array([[r[f"{w}_{c}"] for c in dims] for r in found]) for w in ("lo", "hi"))
-    schema = "id bigint, " + ", ".join(f"{c} double" for c in dims) + ", centre int, d double"
+    low, high, reach = hi - inner - SLACK, lo + inner + SLACK, outer - SLACK
+    ends = [f"{w}_{c}" for w in ("lo", "hi") for c in dims]
 
-    def around(centres: np.ndarray, radius: float) -> DataFrame:
-        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                x = pdf[dims].to_numpy()
-                d = np.zeros((len(x), len(centres)))
-                for j in range(x.shape[1]):
-                    np.maximum(d, np.abs(x[:, j, None] - centres[None, :, j]), out=d)
-                row, centre = np.nonzero(d < radius)
-                yield pdf.iloc[row].assign(centre=centre, d=d[row, centre])
-
-        return records.mapInPandas(work, schema)
-
-    centres = (lo + hi) / 2
-    again = around(centres, (inner + outer) / 2).groupBy("centre").agg(*[((F.min(c) + F.max(c)) / 2).alias(c) for c in dims])
-    centres = np.unique(np.concatenate([centres, [[r[c] for c in dims] for r in again.collect()]]), axis=0)
-    held = Table(around(centres, outer - SLACK)).df
-    state = held.groupBy("centre").agg(F.count("*").alias("n"), F.max("d").alias("far"), F.min("id").alias("group_id"))
-    good = state.where((F.col("far") <= inner + SLACK) & (F.col("n") >= least))
-    return held.join(bounded(good.select("centre", "group_id")), "centre").select("id", "group_id").distinct()
+    def blocked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for pdf in batches:
+            x = pdf[dims].to_numpy()
+            x = x[np.argsort(x[:, 0])]
+            for g in range(len(low)):
+                y = x[np.searchsorted(x[:, 0], low[g, 0] - reach, "right") : np.searchsorted(x[:, 0], high[g, 0] + reach, "left")]
+                near = ((y > low[g] - reach) & (y < high[g] + reach)).all(axis=1) & ~((y >= lo[g]) & (y <= hi[g])).all(axis=1)
+                if near.any():
+                    y = y[near]
+                    p = np.where(y - reach < low[g], -np.inf, y - reach), np.where(y + reach > high[g], np.inf, y + reach)
+                    if g in held:
+                        p = tuple(np.concatenate([q, r]) for q, r in zip(held[g], p))
+                    held[g] = foremost(*p, low[g], high[g])
+        for g, p in held.items():
+            yield pd.DataFrame(np.concatenate(p, axis=1), columns=ends).assign(g=g)
+
+    def settled(pdf: pd.DataFrame) -> pd.DataFrame:
+        g, p = int(pdf["g"].iloc[0]), pdf[ends].to_numpy()
+        return pd.DataFrame({"g": [g], "free": [has_free_point(low[g], high[g], *foremost(p[:, : len(dims)], p[:, len(dims) :], low[g], high[g]))]})
+
+    blocks = records.mapInPandas(blocked, ", ".join(f"{e} double" for e in ends) + ", g int")
+    lost = {r["g"] for r in blocks.groupBy("g").applyInPandas(settled, "g int, free boolean").where("not free").collect()}
+    valid = [g for g in range(len(lo)) if g not in lost]
+    within = lambda g, h: g != h and (lo[g] >= lo[h]).all() and (hi[g] <= hi[h]).all()
+    valid = [h for h in valid if not any(within(g, h) for g in valid)]
+    if not valid:
+        return empty
+
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x = pdf[dims].to_numpy()
+            for g in valid:
+                ids = pdf["id"].to_numpy()[((x >= lo[g]) & (x <= hi[g])).all(axis=1)]
+                yield pd.DataFrame({"id": ids, "g": np.full(len(ids), g, dtype=np.int32)})
+
+    held = Table(records.mapInPandas(members, "id bigint, g int")).df
+    return held.join(bounded(held.groupBy("g").agg(F.min("id").alias("group_id"))), "g").select("id", "group_id").distinct()
 
 
 def patch_records(patches: DataFrame) -> DataFrame:

@@ -112,6 +112,31 @@ def test_group_of_many_slices(spark):
     assert got == {i: 0 for i in range(624)}
 
 
+def test_group_with_a_shifted_centre(spark):
+    # in steps of shannon: members within 0.2 of 0, others at 0.85 and, in another measure too, at -0.8
+    at = lambda k, x, y: (k, 1.5 + 0.3 * x, 0.5 + 0.15 * y, 6, 100)
+    rows = [at(k, -0.2 + 0.04 * k, 0.0) for k in range(11)] + [at(20, 0.85, 0.0), at(21, -0.8, 0.6)]
+    got = {r.patch_id: r.group_id for r in clusters.patch_groups(spark.createDataFrame(rows + _alone(1000, 100), PATCH)).collect()}
+    assert got == {i: 0 for i in range(11)}
+    # now every centre has another patch nearer than 0.9
+    rows.append(at(22, -0.85, 0.0))
+    assert clusters.patch_groups(spark.createDataFrame(rows + _alone(1000, 100), PATCH)).count() == 0
+
+
+def test_free_points_against_a_grid():
+    rng = np.random.default_rng(4)
+    for k in range(300):
+        n = int(rng.integers(1, 8))
+        lo = rng.integers(-6, 8, (n, 2)).astype(float)
+        hi = lo + rng.integers(4, 14, (n, 2))
+        low, high = np.zeros(2), np.array([6.0, 6.0])
+        grid = np.stack(np.meshgrid(np.arange(0, 6.5, 0.5), np.arange(0, 6.5, 0.5)), axis=-1).reshape(-1, 1, 2)
+        want = not ((grid > lo) & (grid < hi)).all(axis=2).any(axis=1).all()
+        assert clusters.has_free_point(low, high, lo, hi) == want
+        cut_lo, cut_hi = np.where(lo < low, -np.inf, lo), np.where(hi > high, np.inf, hi)
+        assert clusters.has_free_point(low, high, *clusters.foremost(cut_lo, cut_hi, low, high)) == want
+
+
 def test_kinds_and_descriptions(spark):
     c = clusters.patch_clusters(_patches(spark))
     kinds = {r.id: r.kind for r in c.of_records().collect()}
