@@ -168,8 +168,8 @@ def roi_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def polygon_shapes(spark: SparkSession, d: str) -> DataFrame:
-    """Shape descriptors of every stored ring of nested documents, in the ring's own units."""
-    docs = read(spark, d, "cell_masks").select("export_id", F.posexplode("cell_masks").alias("tile_pos", "t"))
+    """Shape descriptors of every stored ring, in the ring's own units."""
+    docs = unified(read(spark, d, "cell_masks")).select("export_id", F.posexplode("cell_masks").alias("tile_pos", "t"))
     masks = docs.select("export_id", "tile_pos", F.posexplode("t.masks").alias("mask_pos", "m")).where("m.coordinates is not null and size(m.coordinates) >= 3")
     s = masks.select("export_id", "tile_pos", "mask_pos", shape(F.col("m.coordinates")).alias("s")).where("s is not null")
     names = ["area", "perimeter", "centroid_x", "centroid_y", "equiv_diameter", "major_axis", "minor_axis", "eccentricity", "circularity", "extent"]

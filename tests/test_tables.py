@@ -8,6 +8,7 @@ from lamella.functions.labels import type_name, with_role
 from lamella.functions.polygons import shape
 from lamella.operators import features, order_stats, patches, skew
 from lamella.operators.flatten import flatten, masks_found
+from lamella.plans import reference
 from lamella.sources.masks import unified
 from tests.test_units import EXPORTS
 
@@ -20,6 +21,15 @@ def _documents(spark):
     return unified(spark.createDataFrame(rows, EXPORTS))
 
 
+def test_polygon_shapes_of_both_forms(spark, tmp_path):
+    ring = [[0.0, 0.0], [4.0, 0.0], [4.0, 3.0], [0.0, 3.0]]
+    text = '{"cell_masks": [null, {"masks": [null, {"coordinates": [[0, 0], [4, 0], [4, 3], [0, 3]]}]}]}'
+    rows = [(1, "A", None, None, None, None, [None, (0, 0, 9, 9, [None, (None, None, None, ring)])], None), (2, "A", None, None, None, None, None, text)]
+    spark.createDataFrame(rows, EXPORTS).write.parquet(f"{tmp_path}/cell_masks.parquet")
+    got = sorted(map(tuple, reference.polygon_shapes(spark, str(tmp_path)).select("export_id", "tile_pos", "mask_pos", "area", "perimeter").collect()))
+    assert got == [(1, 1, 1, 12.0, 14.0), (2, 1, 1, 12.0, 14.0)]
+
+
 def test_flatten(spark):
     docs = _documents(spark)
     assert sorted(map(tuple, masks_found(docs).collect())) == [(1, 1, 1, 3), (1, 1, 2, 3), (2, 0, 0, 3)]
