@@ -41,7 +41,11 @@ _GROUP = r"\{[^{}]*(?:\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}[^{}]*)*\}"
 COMMENT = re.compile(r"(?<!\\)%[^\n]*")
 COMMENT_BLOCK = re.compile(r"\\begin\{comment\}.*?(?:\\end\{comment\}|\Z)", re.S)
 FRONT = re.compile(r"\\(?:title|author|date|thanks|affiliation|address|email)\s*(?:\[[^\]]*\])?\s*" + _GROUP + r"|\\maketitle")
-END = re.compile(r"\\end\{document\}|\\begin\{thebibliography\}|\\bibliography\s*\{|\\printbibliography|\\bibitem")
+END = "\\end{document}"
+#: A bibliography's own span: the environment, the rest of one that a fragment begins in, or the one command.
+REFERENCES = re.compile(r"\\begin\{thebibliography\}.*?(?:\\end\{thebibliography\}|\Z)|\\bibliography(?:style)?\s*\{[^{}]*\}|\\printbibliography(?:\s*\[[^\]]*\])?", re.S)
+REST = re.compile(r"\\bibitem.*?\\end\{thebibliography\}", re.S)
+ENTRY = re.compile(r"\\bibitem.*?(?=\\bibitem|\n[ \t\r]*\n|\\(?:sub)*section\b|\\appendix\b|\Z)", re.S)
 SETTING = re.compile(r"\\(?:documentclass|usepackage|(?:re)?newcommand|providecommand|DeclareMathOperator|def\\|newtheorem|input|include)[^\n]*")
 #: Formulas and tables: their words are of the body, but never spam.
 FORMULA = re.compile(r"\\begin\{(equation|align|displaymath|eqnarray|gather|multline|math|tabular|tabularx|table|longtable|array|figure|algorithm|algorithmic|verbatim|lstlisting)\*?\}.*?(?:\\end\{\1\*?\}|\Z)|\$\$.*?\$\$|\\\[.*?\\\]", re.S)
@@ -63,18 +67,21 @@ def body(text: str | None) -> str | None:
     """A document without preamble, title, author, bibliography and comments; None if it ends before its body."""
     if not text or not text.strip():
         return None
+    # a commented command begins or ends nothing
+    if "%" in text:
+        text = COMMENT.sub("", text)
+    if "\\begin{comment}" in text:
+        text = COMMENT_BLOCK.sub(" ", text)
     begin = text.find("\\begin{document}")
     if begin >= 0:
         text = text[begin + 16 :]
     elif "\\documentclass" in text:
         return None
-    end = END.search(text)
-    if end:
-        text = text[: end.start()]
-    if "%" in text:
-        text = COMMENT.sub("", text)
-    if "\\begin{comment}" in text:
-        text = COMMENT_BLOCK.sub(" ", text)
+    text = text.partition(END)[0]
+    if "bib" in text:
+        text = REFERENCES.sub("\n\n", text)
+        if "\\bibitem" in text:
+            text = ENTRY.sub("\n\n", REST.sub("\n\n", text))
     text = FRONT.sub(" ", text)
     return SETTING.sub(" ", text) if begin < 0 else text
 

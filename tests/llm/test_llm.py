@@ -277,3 +277,16 @@ def test_spam(spark):
 def test_body():
     assert spam.body("\\documentclass{a}\n\\title{x}") is None and spam.body(None) is None and spam.body(" \n") is None
     assert "secret" not in spam.body("\\begin{document}\\title{secret}\n% secret\ntext\\begin{thebibliography}secret")
+
+
+def test_body_after_bibliography_and_comments():
+    begin, end = "\\begin{document}\n", "\n\\end{document} secret"
+    lists = ["\\begin{thebibliography}{9}\\bibitem{a} secret\n\n\\bibitem{b} secret\\end{thebibliography}", "\\bibliography{secret}", "\\printbibliography[title=secret]", "\\bibitem{a} secret\n\\bibitem{b} secret"]
+    for refs in lists:
+        got = spam.body(begin + "first " + refs + "\n\n\\section{Appendix} last" + end)
+        assert "first" in got and "last" in got and "secret" not in got, refs
+    for comment in ("% \\bibliography{x}", "% \\end{document}", "% \\begin{thebibliography}{9}"):
+        assert "last" in spam.body(begin + "first\n" + comment + "\nlast" + end)
+    assert "first" in spam.body("\\documentclass{a}\n" + begin + "first\n% \\begin{document}\nlast" + end)
+    assert "secret" not in spam.body("\\documentclass{a}\n% \\begin{document}\n\\title{x} secret\n" + begin + "last" + end)
+    assert spam.body("\\documentclass{a}\n% \\begin{document}\nsecret") is None
