@@ -157,14 +157,12 @@ def roi_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def roi_features(spark: SparkSession, d: str) -> DataFrame:
-    """Composition and neighbourhoods of the cells of each region, with the graph built anew on them."""
+    """The 144 features of the cells of each region, with the graph built anew on them."""
     inside = roi_cells(spark, d)
     cells = Table(inside.join(stored_cells(spark, d), "cell_id").withColumn("slide", F.col("roi_id").cast("string")).drop("roi_id")).df
     # a cell may lie in several regions, so it takes part in each under a name of its own
     cells = Table(cells.withColumn("cell_id", F.xxhash64("slide", "cell_id"))).df
-    edges = graph_edges(cells)
-    nodes = features.node_measures(cells, edges)
-    return _rounded(features.composition(cells).unionByName(features.neighborhood(cells, nodes, edges)))
+    return _rounded(features.all_features(cells, graph_edges(cells)))
 
 
 def polygon_shapes(spark: SparkSession, d: str) -> DataFrame:

@@ -30,6 +30,19 @@ def test_polygon_shapes_of_both_forms(spark, tmp_path):
     assert got == [(1, 1, 1, 12.0, 14.0), (2, 1, 1, 12.0, 14.0)]
 
 
+def test_all_features_of_regions(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    shapes = ", ".join(f"{c} double" for c in features.CHANNELS)
+    rows = [(k, "A", ("tumor", "immune", "stroma")[k % 3], "abc"[k % 3], int(rng.integers(0, 1500)), int(rng.integers(0, 1500)), *[float(v) for v in rng.uniform(1, 2, len(features.CHANNELS))]) for k in range(60)]
+    cells = spark.createDataFrame(rows, f"cell_id bigint, slide string, role string, cell_type string, qx bigint, qy bigint, {shapes}")
+    inside = spark.createDataFrame([(7, k) for k in range(60)] + [(8, k) for k in range(30)], "roi_id bigint, cell_id bigint")
+    monkeypatch.setattr(reference, "stored_cells", lambda spark, d: cells)
+    monkeypatch.setattr(reference, "roi_cells", lambda spark, d: inside)
+    got = reference.roi_features(spark, "").collect()
+    assert len(got) == 288 and {(r.slide, r.feature) for r in got} == {(s, f) for s in "78" for f in features.FEATURES}
+    assert {r.slide: r.value for r in got if r.feature == "slide__n_cells"} == {"7": 60.0, "8": 30.0}
+
+
 def test_flatten(spark):
     docs = _documents(spark)
     assert sorted(map(tuple, masks_found(docs).collect())) == [(1, 1, 1, 3), (1, 1, 2, 3), (2, 0, 0, 3)]
