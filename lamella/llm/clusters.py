@@ -2,12 +2,14 @@
 
 Equal vectors are one node with a weight. In every round the nodes are sorted over the cluster along another
 space-filling curve and cut into blocks of bounded size; in a block, neighbour descent (neighbours of neighbours, and
-reverse neighbours, until little changes) improves each node's list. The lists of all rounds are united; links as long
-as ``reach`` or longer are left out, so points further apart never share a community through one link.
+reverse neighbours, until little changes) improves each node's list. The lists of all rounds are united, and further
+passes of neighbour descent, as joins, carry them across the blocks; links as long as ``reach`` or longer are left
+out, so points further apart never share a community through one link.
 
 Communities come from rounds of local moves that raise modularity, on labels joined to edges and added up with
 map-side combine, and from contraction of the graph. A community is described by its size and by its members of
-highest weighted degree within it.
+highest weighted degree within it. Isolated groups are put together from whole communities and then checked exactly;
+see :func:`isolated_groups`.
 
 Rows with a null in a feature are out; repeated rows of one id count once; an empty table gives empty results.
 """
@@ -20,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.session import Table, bounded
 
-BLOCK, NEIGHBOURS, ROUNDS, BITS = 8192, 10, 3, 12
+BLOCK, NEIGHBOURS, ROUNDS, PASSES, BITS = 4096, 10, 3, 1, 12
 #: Cells on each side of a centre's cell; rounding of measures that a distance may have.
 WINDOW, SLACK = 3, 1e-9
 
@@ -68,7 +71,7 @@ def descend(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> tuple[np.n
     return ids, dist
 
 
-def neighbour_graph(nodes: DataFrame, dims: list[str], reach: float, k: int = NEIGHBOURS, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, dims: list[str], reach: float, k: int = NEIGHBOURS, rounds: int = ROUNDS, block: int = BLOCK, passes: int = PASSES) -> DataFrame:
     """``a, b, d`` (a < b): links shorter than ``reach`` of the approximate ``k``-nearest-neighbour graph of ``node, *dims``."""
     ends = nodes.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(dims)], *[F.max(c).alias(f"hi{i}") for i, c in enumerate(dims)]).first()
     low = np.array([ends[f"lo{i}"] or 0.0 for i in range(len(dims))], dtype=float)
@@ -111,15 +114,46 @@ def neighbour_graph(nodes: DataFrame, dims: list[str], reach: float, k: int = NE
     kind = ", ".join(f"{c} {types[c]}" for c in ["node", *dims])
     parts = max(1, -(-many // (2 * block)))
     links = None
-    for turn in range(rounds if many > 2 * block else 1):
+    for turn in range(rounds):
         keyed = nodes.select("node", *dims).mapInPandas(curve(turn), f"{kind}, key bigint")
         found = keyed.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node").mapInPandas(link, "a bigint, b bigint, d double")
         links = found if links is None else links.unionByName(found)
-    # the k nearest of either end, over all rounds
-    one = links.groupBy("a", "b").agg(F.min("d").alias("d"))
-    both = Table(one.select("a", "b", "d").unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))).df
+    lists = _nearest_lists(links.groupBy("a", "b").agg(F.min("d").alias("d")), k)
+    for _ in range(passes):
+        lists = _nearest_lists(lists.unionByName(_across(lists, nodes, dims, k)), k)
+    return Table(lists.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct()).df
+
+
+def _nearest_lists(links: DataFrame, k: int) -> DataFrame:
+    """``a, b, d``: of each node's links, seen from either end, the ``k`` nearest."""
+    both = links.select("a", "b", "d").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")).groupBy("a", "b").agg(F.min("d").alias("d"))
     best = both.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))).where(F.col("r") <= k)
-    return Table(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct()).df
+    return Table(best.drop("r")).df
+
+
+def _across(lists: DataFrame, nodes: DataFrame, dims: list[str], k: int) -> DataFrame:
+    """Links ``a, b, d`` by which a node's list gets better: neighbours of its neighbours, in whatever block they were.
+
+    A row meets one neighbour's whole list (``k`` entries), so only links that are nearer than the node's last one
+    leave the task. As equal vectors are one node, few lists name the same node.
+    """
+    place = nodes.select(F.col("node").alias("b"), F.array(*dims).alias("x"))
+    full = lists.join(place, "b").groupBy("a").agg(F.collect_list("b").alias("ids"), F.flatten(F.collect_list("x")).alias("xs"), F.max("d").alias("far"), F.count("*").alias("n"))
+    # a node with fewer links than k takes any
+    full = Table(full.join(place.withColumnRenamed("b", "a"), "a").withColumn("far", F.when(F.col("n") < k, float("inf")).otherwise(F.col("far")))).df
+    asked = full.select("a", "x", "far", F.explode("ids").alias("b")).join(full.select(F.col("a").alias("b"), F.col("ids").alias("ids"), "xs"), "b").select("a", "far", "x", "ids", "xs")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, far, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).flatten().to_numpy().reshape(-1, len(dims))
+            times = batch.column(3).value_lengths().to_numpy()
+            c, xs = batch.column(3).flatten().to_numpy(), batch.column(4).flatten().to_numpy().reshape(-1, len(dims))
+            at = np.repeat(np.arange(len(a)), times)
+            d = np.abs(xs - x[at]).max(axis=1) if len(at) else np.empty(0)
+            keep = (d < far[at]) & (c != a[at])
+            yield pa.RecordBatch.from_arrays([pa.array(a[at[keep]]), pa.array(c[keep]), pa.array(d[keep])], names=["a", "b", "d"])
+
+    return asked.mapInArrow(work, "a bigint, b bigint, d double").distinct()
 
 
 def communities(links: DataFrame, levels: int = 4, moves: int = 4) -> DataFrame:
@@ -190,11 +224,15 @@ class Clusters:
     def of_records(self) -> DataFrame:
         """``id, kind``: the community of each record, named by its smallest id."""
         named = self.member.groupBy("community").agg(F.min("node").alias("kind"))
-        known = self.nodes.join(self.member, "node").join(named, "community").select("kind", *[F.col(c).alias(f"_{c}") for c in self.dims])
+        return self.with_nodes(self.nodes.join(self.member, "node").join(named, "community"), "kind")
+
+    def with_nodes(self, nodes: DataFrame, name: str) -> DataFrame:
+        """``id`` of each record and column ``name`` of its node in ``nodes``."""
+        known = nodes.select(name, *[F.col(c).alias(f"_{c}") for c in self.dims])
         same = F.lit(True)
         for c in self.dims:
             same &= F.col(c) == F.col(f"_{c}")
-        return self.records.join(known, same).select("id", "kind")
+        return self.records.join(known, same).select("id", name)
 
     def described(self, top: int = 3) -> DataFrame:
         """``kind, size, typical``: records of a community and its nodes of highest weighted degree within it."""
@@ -218,18 +256,23 @@ def cells_in_windows(n: np.ndarray, lo: np.ndarray, hi: np.ndarray, wide: int) -
     return n, lo, hi
 
 
-def candidate_boxes(records: DataFrame, dims: list[str], least: int, inner: float, outer: float) -> DataFrame:
-    """``lo_*, hi_*``: the tight boxes of all sets of at least ``least`` records that may be a group; no group is missed.
+def candidate_boxes(boxes: DataFrame, dims: list[str], least: int, inner: float, outer: float) -> DataFrame:
+    """``lo_*, hi_*``: the tight boxes of all sets of communities, of at least ``least`` records, that may be a group.
 
-    Space is cut into cells of a side just under ``outer / 4``. For any centre, the records of the window of 3 cells on
-    every side of its cell are nearer than ``outer``, so they are the group if there is one; hence at most one set per
-    cell. A window lies in two blocks of 7 cells per measure; sums over such blocks leave at most 2^d / share of them,
-    each of at most 14^d cells, however many the records are.
+    ``boxes``: a row per community with one of its records (``dims``), its ends (``lo_*, hi_*``) and its size ``n``. No
+    group is missed: a link is shorter than ``outer - inner``, so a community lies wholly in a group or wholly out of it.
+    Space is cut into cells of a side just under ``outer / 4``. For any centre, records in the window of 3 cells on
+    every side of its cell are nearer than ``outer``, so the communities with a record there are the group if there is
+    one; hence at most one set per cell. A window lies in two blocks of 7 cells per measure; sums over such blocks leave
+    at most 2^d / share of them, each of at most 14^d cells, however many the records are.
     """
     d, side, wide = len(dims), outer / (WINDOW + 1) * 0.995, 2 * WINDOW + 1
+    # a community wider than a group can be is in none
+    for c in dims:
+        boxes = boxes.where(F.col(f"hi_{c}") - F.col(f"lo_{c}") <= 2 * (inner + SLACK))
     cell = [F.floor(F.col(c) / side).alias(f"k_{c}") for c in dims]
-    ends = [f(c).alias(f"{w}_{c}") for c in dims for f, w in ((F.min, "lo"), (F.max, "hi"))]
-    fine = records.groupBy(*cell).agg(F.count("*").alias("n"), *ends)
+    ends = [f(f"{w}_{c}").alias(f"{w}_{c}") for c in dims for f, w in ((F.min, "lo"), (F.max, "hi"))]
+    fine = boxes.groupBy(*cell).agg(F.sum("n").alias("n"), *ends)
     fine = Table(fine.select("*", *[F.floor(F.col(f"k_{c}") / wide).alias(f"b_{c}") for c in dims])).df
     blocks, starts = [f"b_{c}" for c in dims], [f"s_{c}" for c in dims]
     shifts = F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(at, starts)]) for at in itertools.product((0, 1), repeat=d)])).alias("at")
@@ -293,21 +336,30 @@ def has_free_point(low: np.ndarray, high: np.ndarray, lo: np.ndarray, hi: np.nda
     return False
 
 
-def isolated_groups(records: DataFrame, dims: list[str], total: int, inner: float = 0.5, outer: float = 0.9, share: float = 0.01) -> DataFrame:
+def isolated_groups(found: Clusters, total: int, inner: float = 0.5, outer: float = 0.9, share: float = 0.01) -> DataFrame:
     """``id, group_id``: groups of at least three records and ``share`` of ``total`` within ``inner`` of a centre that every other record is ``outer`` from.
 
-    All sets that may be groups are checked over all records: a set's centres fill a box, every other record blocks
-    an open box of them, and a group is a set with a centre left. A set that holds a smaller group besides other records
-    is none of its own.
+    Groups are sets of whole communities of ``found``, whose ``reach`` may be ``outer - inner`` at most: no link crosses
+    a group's rim, so no community does, however many links the approximate graph misses; a group of scattered records
+    is a set of many small ones. All sets that may be groups are checked over all records: a set's centres fill a box,
+    every other record blocks an open box of them, and a group is a set with a centre left. A set that holds a smaller
+    group besides other records is none of its own.
     """
+    if found.reach > outer - inner + SLACK:
+        raise ValueError("links must be shorter than the gap around a group")
+    dims, nodes = found.dims, found.nodes
     least = max(3, math.ceil(share * total - SLACK))
-    empty = records.select("id", F.col("id").alias("group_id")).limit(0)
-    found = candidate_boxes(records, dims, least, inner, outer).collect()
-    if not found:
+    placed = nodes.join(found.member, "node")
+    ends = [f"{w}_{c}" for w in ("lo", "hi") for c in dims]
+    spans = [F.min(c).alias(f"lo_{c}") for c in dims] + [F.max(c).alias(f"hi_{c}") for c in dims]
+    boxes = Table(placed.groupBy("community").agg(F.sum("weight").alias("n"), F.min("node").alias("first"), *[F.min_by(c, "node").alias(c) for c in dims], *spans)).df
+    empty = found.records.select("id", F.col("id").alias("group_id")).limit(0)
+    # at most one row per cell of a bounded number of windows
+    sets = candidate_boxes(boxes, dims, least, inner, outer).collect()
+    if not sets:
         return empty
-    lo, hi = (np.array([[r[f"{w}_{c}"] for c in dims] for r in found]) for w in ("lo", "hi"))
+    lo, hi = (np.array([[r[f"{w}_{c}"] for c in dims] for r in sets]) for w in ("lo", "hi"))
     low, high, reach = hi - inner - SLACK, lo + inner + SLACK, outer - SLACK
-    ends = [f"{w}_{c}" for w in ("lo", "hi") for c in dims]
 
     def blocked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -330,7 +382,7 @@ def isolated_groups(records: DataFrame, dims: list[str], total: int, inner: floa
         g, p = int(pdf["g"].iloc[0]), pdf[ends].to_numpy()
         return pd.DataFrame({"g": [g], "free": [has_free_point(low[g], high[g], *foremost(p[:, : len(dims)], p[:, len(dims) :], low[g], high[g]))]})
 
-    blocks = records.mapInPandas(blocked, ", ".join(f"{e} double" for e in ends) + ", g int")
+    blocks = nodes.select(*dims).mapInPandas(blocked, ", ".join(f"{e} double" for e in ends) + ", g int")
     lost = {r["g"] for r in blocks.groupBy("g").applyInPandas(settled, "g int, free boolean").where("not free").collect()}
     valid = [g for g in range(len(lo)) if g not in lost]
     within = lambda g, h: g != h and (lo[g] >= lo[h]).all() and (hi[g] <= hi[h]).all()
@@ -338,15 +390,15 @@ def isolated_groups(records: DataFrame, dims: list[str], total: int, inner: floa
     if not valid:
         return empty
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = pdf[dims].to_numpy()
             for g in valid:
-                ids = pdf["id"].to_numpy()[((x >= lo[g]) & (x <= hi[g])).all(axis=1)]
-                yield pd.DataFrame({"id": ids, "g": np.full(len(ids), g, dtype=np.int32)})
+                mine = ((pdf[ends[: len(dims)]].to_numpy() >= lo[g]) & (pdf[ends[len(dims) :]].to_numpy() <= hi[g])).all(axis=1)
+                yield pdf.loc[mine, ["community", "first"]].assign(g=g)
 
-    held = Table(records.mapInPandas(members, "id bigint, g int")).df
-    return held.join(bounded(held.groupBy("g").agg(F.min("id").alias("group_id"))), "g").select("id", "group_id").distinct()
+    kinds = Table(boxes.select("community", "first", *ends).mapInPandas(parts, "community bigint, first bigint, g int")).df
+    named = kinds.join(kinds.groupBy("g").agg(F.min("first").alias("group_id")), "g").select("community", "group_id")
+    return found.with_nodes(placed.join(named, "community"), "group_id").distinct()
 
 
 def patch_records(patches: DataFrame) -> DataFrame:
@@ -367,4 +419,4 @@ def patch_clusters(patches: DataFrame) -> Clusters:
 def patch_groups(patches: DataFrame) -> DataFrame:
     """``patch_id, group_id`` of the isolated groups of patches."""
     total = patches.where("patch_id is not null").select("patch_id").distinct().count()
-    return isolated_groups(valid_records(patch_records(patches), DIMS), DIMS, total).withColumnRenamed("id", "patch_id")
+    return isolated_groups(patch_clusters(patches), total).withColumnRenamed("id", "patch_id")
