@@ -1,10 +1,12 @@
 """Keyword-stuffed and link-list pages, by robust Mahalanobis distance per language.
 
-Every document gets features of density (links, tags), repetition, entropy, function words and sentences. Per language,
-a location and a scatter that outliers cannot pull are estimated from Spark aggregates: medians and deviations from
-them first, then a few rounds of mean and covariance over the rows within the cut-off. Documents beyond the cut-off in
-a spam-ward direction are outliers; an exact count of the words that stand in repeated keywords, link entries or tags
-and not in sentences, formulas or tables then settles which of them are spam.
+Every document gets features of density (words in lists, links, tags), repetition, entropy, function words and
+sentences. Per language, a location and a scatter that outliers cannot pull are estimated from Spark aggregates: medians
+and deviations from them first, then a few rounds of mean and covariance over the rows within the cut-off. Both are
+drawn towards those of all documents, the more the fewer rows a language has, so every language is judged in one way
+whatever its size. A document is flagged if its distance is beyond the cut-off and its step from the location lies in
+the spam-ward direction: projected, in the scatter's metric, on the step to a page of lists alone, it goes more than
+half of that way.
 
 Null, empty and blank texts, and documents cut off before their body, have no body and are never found. The estimates
 hold one row per language, so what reaches the driver doesn't grow with the corpus.
@@ -49,7 +51,7 @@ ENTRY = re.compile(r"\\bibitem.*?(?=\\bibitem|\n[ \t\r]*\n|\\(?:sub)*section\b|\
 SETTING = re.compile(r"\\(?:documentclass|usepackage|(?:re)?newcommand|providecommand|DeclareMathOperator|def\\|newtheorem|input|include)[^\n]*")
 #: Formulas and tables: their words are of the body, but never spam.
 FORMULA = re.compile(r"\\begin\{(equation|align|displaymath|eqnarray|gather|multline|math|tabular|tabularx|table|longtable|array|figure|algorithm|algorithmic|verbatim|lstlisting)\*?\}.*?(?:\\end\{\1\*?\}|\Z)|\$\$.*?\$\$|\\\[.*?\\\]", re.S)
-INLINE = re.compile(r"\$[^$\n]{1,200}\$|\\\(.{1,200}?\\\)")
+INLINE = re.compile(r"\$[^$\n]+\$|\\\([^\n]+?\\\)")
 LINK = re.compile(r"\\(?:url|href|nolinkurl)\s*\{[^{}]*\}|(?:https?://|www\.)[^\s{}]+", re.I)
 TAG = re.compile(r"(?:\\#|#)\w+|\bSKU\b")
 KEYED = re.compile(r"\\(?:[A-Za-z]*cite[a-z]*|(?:page|eq|auto|c|C)?ref|label)\*?(?:\[[^\]]*\])*\{[^{}]*\}")
@@ -57,10 +59,14 @@ COMMAND = re.compile(r"\\(?:begin|end)\{[^{}]*\}|\\[A-Za-z@]+\*?|\\.")
 BREAK = re.compile(r"\n[ \t\r]*\n|\\(?:sub)*section\*?\s*(?=\{)|\\par\b|\\begin\{[^{}]*\}|\\end\{[^{}]*\}")
 STOP = re.compile(r"(?<=[^\s.][.!?])(?=[\s})\]\"']|$)|(?<=[。！？])")
 
-FEATURES = ("links", "tags", "top", "repeats", "entropy", "function", "sentences")
-#: Which way of each feature spam lies, and the least spread that counts, so that a constant feature can't divide by zero.
-SPAMWARD = (1, 1, 1, 1, -1, -1, -1)
-LEAST_SPREAD = (0.02, 0.02, 0.03, 0.04, 0.05, 0.04, 0.08)
+#: ``listed``: share of the body's words in units of repeated keywords, link entries or tags, outside sentences, formulas and tables.
+FEATURES = ("listed", "links", "tags", "top", "repeats", "entropy", "function", "sentences")
+#: The values of a page of lists alone, where the kind of list doesn't matter; the other features only add to the distance.
+LISTS_ALONE = {"listed": 1.0, "function": 0.0, "sentences": 0.0}
+#: The least spread of each feature that counts, so that a constant feature can't divide by zero.
+LEAST_SPREAD = (0.03, 0.02, 0.02, 0.03, 0.04, 0.05, 0.04, 0.08)
+#: Rows at which a language's own estimate and the common one weigh the same.
+PRIOR_ROWS = 50.0
 
 
 def body(text: str | None) -> str | None:
@@ -97,7 +103,7 @@ def units(main: str) -> Iterator[tuple[str, bool]]:
 
 
 def measure(text: str | None) -> tuple | None:
-    """Language, features and the exact share of spam words of a document; None without a body of words."""
+    """Language, words and features of a document; None without a body of words."""
     b = body(text)
     if b is None:
         return None
@@ -150,75 +156,88 @@ def measure(text: str | None) -> tuple | None:
     if n_function < 0.02 * total:
         lang = "none"
     top = sum(c for w, c in count.most_common(12) if w not in LANGUAGE) / total
-    return lang, total + formulas, in_links / total, min(in_tags / total, 1.0), top, repeats / max(pairs, 1), entropy, min(n_function / total, 1.0), sentences / total, spam / (total + formulas)
+    return lang, total + formulas, spam / (total + formulas), in_links / total, min(in_tags / total, 1.0), top, repeats / max(pairs, 1), entropy, min(n_function / total, 1.0), sentences / total
 
 
 def scored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, lang, n_words``, the features and ``share`` of every document with a body."""
+    """``key, lang, n_words`` and the features of every document with a body."""
     kind = docs.schema[key].dataType
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [(k, *m) for k, t in zip(pdf.iloc[:, 0], pdf.iloc[:, 1]) if isinstance(t, str) and (m := measure(t)) is not None]
-            yield pd.DataFrame(rows, columns=[key, "lang", "n_words", *FEATURES, "share"])
+            yield pd.DataFrame(rows, columns=[key, "lang", "n_words", *FEATURES])
 
-    return docs.select(key, text).where(F.col(text).isNotNull() & F.col(key).isNotNull()).mapInPandas(work, f"{key} {kind.simpleString()}, lang string, n_words bigint, " + ", ".join(f"{f} double" for f in FEATURES) + ", share double")
+    return docs.select(key, text).where(F.col(text).isNotNull() & F.col(key).isNotNull()).mapInPandas(work, f"{key} {kind.simpleString()}, lang string, n_words bigint, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def _distance(model: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[Column, Column]:
-    """Squared distance and spam-ward score of a row by its language's location and inverse scatter, as expressions."""
+Model = dict[str, tuple[np.ndarray, np.ndarray]]
+COMMON = "all"
+
+
+def _distance(model: Model) -> tuple[Column, Column]:
+    """Squared distance of a row and the part of the way to a page of lists that it goes, by its group's location and inverse scatter."""
     distance, toward = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for lang, (centre, inverse) in model.items():
+    for grp, (centre, inverse) in model.items():
         d = [F.col(f) - F.lit(float(c)) for f, c in zip(FEATURES, centre)]
         square = sum((F.lit(float(inverse[i, j] * (1 if i == j else 2))) * d[i] * d[j] for i in range(len(d)) for j in range(i, len(d))), F.lit(0.0))
-        # the step to the row, in units of each feature's spread, along the spam-ward diagonal
-        along = sum((F.lit(s / w) * x for s, w, x in zip(SPAMWARD, LEAST_SPREAD, d)), F.lit(0.0))
-        here = F.col("grp") == lang
-        distance, toward = F.when(here, square).otherwise(distance), F.when(here, along).otherwise(toward)
+        step = np.array([LISTS_ALONE[f] - c if f in LISTS_ALONE else 0.0 for f, c in zip(FEATURES, centre)])
+        pull = inverse @ step / (step @ inverse @ step)
+        here = F.col("grp") == grp
+        distance, toward = F.when(here, square).otherwise(distance), F.when(here, sum((F.lit(float(w)) * x for w, x in zip(pull, d)), F.lit(0.0))).otherwise(toward)
     return distance, toward
 
 
-def robust_model(rows: DataFrame, cutoff: float, rounds: int = 3) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+def _drawn(own: dict[str, tuple[float, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Estimates per group (rows, value) drawn towards the common one."""
+    common = own[COMMON][1]
+    return {g: (n * v + (0.0 if g == COMMON else PRIOR_ROWS) * common) / (n + (0.0 if g == COMMON else PRIOR_ROWS)) for g, (n, v) in own.items()}
+
+
+def robust_model(rows: DataFrame, cutoff: float, rounds: int = 3) -> Model:
     """Location and inverse scatter per ``grp``: medians and deviations, then moments of the rows within the cut-off."""
-    median = rows.groupBy("grp").agg(*[F.percentile_approx(f, 0.5, 2000).alias(f) for f in FEATURES])
-    centre = {r["grp"]: np.array([r[f] for f in FEATURES]) for r in median.collect()}
-    def by_group(values) -> Column:
-        out = F.lit(None).cast("double")
-        for g, v in values.items():
-            out = F.when(F.col("grp") == g, F.lit(float(v))).otherwise(out)
-        return out
+    width = len(FEATURES)
+    median = rows.groupBy("grp").agg(F.count("*").alias("n"), *[F.percentile_approx(f, 0.5, 2000).alias(f) for f in FEATURES]).collect()
+    if not median:
+        return {}
+    centre = _drawn({r["grp"]: (r["n"], np.array([r[f] for f in FEATURES])) for r in median})
 
-    spread = rows.groupBy("grp").agg(*[F.percentile_approx(F.abs(F.col(f) - by_group({g: c[i] for g, c in centre.items()})), 0.5, 2000).alias(f) for i, f in enumerate(FEATURES)])
-    width = {r["grp"]: np.maximum(1.4826 * np.array([r[f] for f in FEATURES]), LEAST_SPREAD) for r in spread.collect()}
-    model = {g: (centre[g], np.diag(1 / width[g] ** 2)) for g in centre}
+    def from_centre(i: int) -> Column:
+        out = F.lit(None).cast("double")
+        for g, c in centre.items():
+            out = F.when(F.col("grp") == g, F.lit(float(c[i]))).otherwise(out)
+        return F.abs(F.col(FEATURES[i]) - out)
+
+    spread = rows.groupBy("grp").agg(F.count("*").alias("n"), *[F.percentile_approx(from_centre(i), 0.5, 2000).alias(f) for i, f in enumerate(FEATURES)])
+    spread = _drawn({r["grp"]: (r["n"], 1.4826 * np.array([r[f] for f in FEATURES])) for r in spread.collect()})
+    model = {g: (centre[g], np.diag(1 / np.maximum(spread[g], LEAST_SPREAD) ** 2)) for g in centre}
+    sums = [F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)] + [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}_{j}") for i in range(width) for j in range(i, width)]
     for _ in range(rounds):
         inner = rows.withColumn("d2", _distance(model)[0]).where(F.col("d2") <= cutoff)
-        n = len(FEATURES)
-        sums = [F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)] + [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}_{j}") for i in range(n) for j in range(i, n)]
-        new = dict(model)
-        for r in inner.groupBy("grp").agg(F.count("*").alias("n"), *sums).collect():
-            if r["n"] >= 10 * n:
-                cov = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)])
-                cov += np.diag(np.square(LEAST_SPREAD))
-                new[r["grp"]] = (np.array([r[f"m{i}"] for i in range(n)]), np.linalg.inv(cov))
-        model = new
+        found = {r["grp"]: r for r in inner.groupBy("grp").agg(F.count("*").alias("n"), *sums).collect()}
+        if COMMON not in found:
+            break
+        # a group without a row within the cut-off keeps the common estimate
+        n = {g: found[g]["n"] if g in found else 0 for g in model}
+        mean = {g: (n[g], np.array([found[g if n[g] else COMMON][f"m{i}"] for i in range(width)])) for g in model}
+        cov = {g: (n[g], np.array([[found[g if n[g] else COMMON][f"c{min(i, j)}_{max(i, j)}"] for j in range(width)] for i in range(width)])) for g in model}
+        mean, cov = _drawn(mean), _drawn(cov)
+        model = {g: (mean[g], np.linalg.inv(cov[g] + np.diag(np.square(LEAST_SPREAD)))) for g in model}
     return model
 
 
-def outliers(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: float = 24.3, least: int = 200) -> DataFrame:
+def outliers(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: float = 26.1, way: float = 0.5) -> DataFrame:
     """``scored`` plus ``grp``, ``distance`` (squared), ``toward`` and ``outlier``.
 
-    ``cutoff``: squared distance (99.9 % of seven normal features). Languages of fewer than ``least`` documents, and
-    documents without a language, are judged by the model of all documents.
+    ``cutoff``: squared distance (99.9 % of eight normal features). ``way``: the part of the way to a page of lists that
+    an outlier goes at least. Documents without a language are judged by the model of all documents.
     """
-    rows = cut(scored(docs, key, text))
-    known = [r["lang"] for r in rows.where("lang <> 'none'").groupBy("lang").count().where(F.col("count") >= least).collect()]
-    rows = rows.withColumn("grp", F.when(F.col("lang").isin(known), F.col("lang")).otherwise("all") if known else F.lit("all"))
-    every = rows.unionByName(rows.where("grp <> 'all'").withColumn("grp", F.lit("all")))
+    rows = cut(scored(docs, key, text)).withColumn("grp", F.when(F.col("lang") == "none", COMMON).otherwise(F.col("lang")))
+    every = rows.unionByName(rows.where(F.col("grp") != COMMON).withColumn("grp", F.lit(COMMON)))
     distance, toward = _distance(robust_model(every, cutoff))
-    return rows.withColumn("distance", distance).withColumn("toward", toward).withColumn("outlier", (F.col("distance") > cutoff) & (F.col("toward") > 0))
+    return rows.withColumn("distance", distance).withColumn("toward", toward).withColumn("outlier", (F.col("distance") > cutoff) & (F.col("toward") > way))
 
 
-def spam_found(docs: DataFrame, key: str = "doc_id", text: str = "text", share: float = 0.5) -> DataFrame:
-    """Keys of outliers more than ``share`` of whose words are keywords, link entries or tags."""
-    return outliers(docs, key, text).where("outlier").where(F.col("share") > share).select(key).distinct()
+def spam_found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Keys of the spam-ward outliers."""
+    return outliers(docs, key, text).where("outlier").select(key).distinct()

@@ -123,6 +123,58 @@ def test_group_with_a_shifted_centre(spark):
     assert clusters.patch_groups(spark.createDataFrame(rows + _alone(1000, 100), PATCH)).count() == 0
 
 
+def test_group_of_scattered_clumps(spark):
+    # 16 clumps of 4 patches, each further than a link from the others, make one group of 64 of 4,064
+    at = [(dx, dy) for dx in (-0.45, -0.15, 0.15, 0.45) for dy in (-0.45, -0.15, 0.15, 0.45)]
+    rows = [(4 * k + i, 1.5 + 0.3 * dx * (1 + 0.001 * i), 0.5 + 0.15 * dy, 6, 100) for k, (dx, dy) in enumerate(at) for i in range(4)]
+    got = {r.patch_id: r.group_id for r in clusters.patch_groups(spark.createDataFrame(rows + _alone(1000, 4000), PATCH)).collect()}
+    assert got == {i: 0 for i in range(64)}
+
+
+def _brute_groups(x, inner=0.5, outer=0.9):
+    """Sets within ``inner`` of a centre with all else ``outer`` away; a centre may be moved until bounds touch."""
+    axes = [np.unique(np.concatenate([v + s for s in (-outer, -inner, inner, outer)])) for v in x.T]
+    found = set()
+    for c in np.stack(np.meshgrid(*axes), axis=-1).reshape(-1, x.shape[1]):
+        d = np.abs(x - c).max(axis=1)
+        near = d <= inner + 1e-9
+        if near.sum() >= 3 and (d[~near] >= outer - 1e-9).all():
+            found.add(frozenset(np.flatnonzero(near).tolist()))
+    return {s for s in found if not any(t < s for t in found)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_groups_of_random_layouts(spark, seed):
+    rng = np.random.default_rng(seed)
+    middles = rng.uniform(0, 4, (5, 2))
+    x = np.concatenate([m + rng.uniform(-0.5, 0.5, (int(rng.integers(2, 7)), 2)) for m in middles])
+    records = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(x)), "x0": x[:, 0], "x1": x[:, 1]}))
+    got = {(r.id, r.group_id) for r in clusters.isolated_groups(clusters.Clusters(records, ["x0", "x1"], 0.4), len(x)).collect()}
+    # two groups may share records, and their name too
+    assert got == {(i, min(g)) for g in _brute_groups(x) for i in g}
+
+
+def test_groups_need_links_shorter_than_their_gap(spark):
+    c = clusters.patch_clusters(_patches(spark))
+    c.reach = 0.5
+    with pytest.raises(ValueError, match="gap"):
+        clusters.isolated_groups(c, 100)
+
+
+def test_graph_recall_over_many_blocks(spark):
+    # about 470 blocks, far narrower than those of a real run, so that nearly every node is at a rim
+    n = 60_000
+    x = np.random.default_rng(1).uniform(size=(n, 4))
+    nodes = spark.createDataFrame(pd.DataFrame({"node": np.arange(n), **{c: x[:, j] for j, c in enumerate(clusters.DIMS)}}))
+    g = clusters.neighbour_graph(nodes, clusters.DIMS, 9.0, block=128).toPandas()
+    links, hit, asked = set(zip(g.a, g.b)), 0, range(0, n, 200)
+    for i in asked:
+        d = np.abs(x - x[i]).max(axis=1)
+        d[i] = np.inf
+        hit += sum((min(i, j), max(i, j)) in links for j in np.argpartition(d, 10)[:10].tolist())
+    assert hit / (10 * len(asked)) >= 0.95
+
+
 def test_free_points_against_a_grid():
     rng = np.random.default_rng(4)
     for k in range(300):
@@ -274,6 +326,19 @@ def test_spam(spark):
     assert spam.spam_found(df.limit(0)).count() == 0
 
 
+def test_distance_and_direction_decide(spark):
+    head, tail = "\\documentclass{article}\n\\begin{document}\n", "\n\\end{document}"
+    stuffed = "\\keywords{" + ", ".join(["best cell kit", "top cell kit", "cheap scanner"] * 40) + "}"
+    german = "Die {} der {} ist mit den {} und auf dem {} von uns nicht im Bild. "
+    word = lambda k: "".join(np.random.default_rng(k).choice(list("abcdefghij"), 7))
+    rows = [(100 + k, _paper(k)) for k in range(60)] + [(300 + k, head + "".join(german.format(*[word(99 * k + 7 * j + i) for i in range(4)]) for j in range(20)) + tail) for k in range(4)]
+    # strange, but not on the way to lists: formulas alone; and a paper with fewer listed words than others
+    rows += [(1, head + "$x$ a" + tail), (2, _paper(500).replace("\\end{document}", stuffed[:900] + "\\end{document}")), (3, head + german.format("a", "b", "c", "d") + stuffed + tail)]
+    got = {r.doc_id: r for r in spam.outliers(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {k for k, r in got.items() if r.outlier} == {3} and got[3].grp == "de"
+    assert got[2].distance > 26.1 and 0.1 < got[2].toward < 0.5
+
+
 def test_body():
     assert spam.body("\\documentclass{a}\n\\title{x}") is None and spam.body(None) is None and spam.body(" \n") is None
     assert "secret" not in spam.body("\\begin{document}\\title{secret}\n% secret\ntext\\begin{thebibliography}secret")
