@@ -18,11 +18,14 @@ _roots: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """The folder of this session's intermediate tables, under ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder stands in.
+    Only where that setting is absent and all runs on one machine (tests) a temporary folder stands in; on a cluster
+    an absent setting is an error, since other executors couldn't read a folder of one machine.
     """
     app = spark.sparkContext.applicationId
     if app not in _roots:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not base:
             base = tempfile.mkdtemp(prefix="spark-lamella-")
         _roots[app] = f"{base.rstrip('/')}/lamella-{uuid.uuid4().hex[:12]}"
