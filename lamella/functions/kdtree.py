@@ -47,33 +47,46 @@ class KDTree:
             near = (d * d).sum(axis=1) <= r2[q]
             yield q[near] + begin, self.order[at[near]]
 
-    def nearest(self, queries: np.ndarray, own: np.ndarray | None = None, names: np.ndarray | None = None) -> np.ndarray:
-        """Squared distance from each query to its nearest point, other than the one named as the query is; inf without one."""
-        best = np.full(len(queries), np.inf)
-        if not self.n:
+    def nearest(self, queries: np.ndarray, k: int = 1, own: np.ndarray | None = None, names: np.ndarray | None = None) -> np.ndarray:
+        """Squared distances from each query to its ``k`` nearest points, other than those named as the query is; inf without."""
+        best = np.full((len(queries), k), np.inf)
+        if not self.n or not len(queries):
             return best
+        # go down to a node that still holds enough points for a bound
+        floor = self.depth
+        while floor and self.n >> floor < 2 * k + 2:
+            floor -= 1
         node = np.zeros(len(queries), dtype=np.int64)
-        for level in range(1, self.depth + 1):
+        for level in range(1, floor + 1):
             gaps = []
             for child in (node * 2, node * 2 + 1):
                 gap = np.maximum(self.low[level][child] - queries, 0) + np.maximum(queries - self.high[level][child], 0)
                 gaps.append((gap * gap).sum(axis=1))
             node = node * 2 + (gaps[1] < gaps[0])
-        first, size = self.starts[-1][node], self.starts[-1][node + 1] - self.starts[-1][node]
-        q = np.repeat(np.arange(len(queries)), size)
-        at = np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+        place = np.empty(self.n, dtype=np.int64)
+        place[self.order] = np.arange(self.n)
 
         def take(q: np.ndarray, at: np.ndarray) -> None:
             d = ((self.points[at] - queries[q]) ** 2).sum(axis=1)
             if own is not None:
                 d = np.where(names[self.order[at]] == own[q], np.inf, d)
-            np.minimum.at(best, q, d)
-
-        take(q, at)
-        place = np.empty(self.n, dtype=np.int64)
-        place[self.order] = np.arange(self.n)
+            if k == 1:
+                np.minimum.at(best[:, 0], q, d)
+                return
+            order = np.lexsort((d, q))
+            q, d = q[order], d[order]
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            keep = rank < k
+            best[q[keep], rank[keep]] = d[keep]
+
+        first, size = self.starts[floor][node], self.starts[floor][node + 1] - self.starts[floor][node]
+        q = np.repeat(np.arange(len(queries)), size)
+        take(q, np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size))
         span = np.sqrt(((self.high[0] - self.low[0]) ** 2).sum()) + np.sqrt((np.maximum(np.abs(queries - self.low[0]), np.abs(queries - self.high[0])) ** 2).sum(axis=1))
-        for q, p in self.within(queries, np.where(np.isfinite(best), np.sqrt(np.where(np.isfinite(best), best, 0)) * (1 + 1e-12), span), block=2048):
+        bound = best[:, -1]
+        # all that lies within the bound holds the k nearest, which are taken anew
+        for q, p in self.within(queries, np.where(np.isfinite(bound), np.sqrt(np.where(np.isfinite(bound), bound, 0)) * (1 + 1e-12), span), block=2048):
+            best[np.unique(q)] = np.inf
             take(q, place[p])
         return best
 

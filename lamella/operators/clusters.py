@@ -2,53 +2,102 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamella.functions import hulls
-from lamella.operators.components import graph_components
-from lamella.operators.delaunay import delaunay_edges
+from lamella.operators.components import block_components
+from lamella.operators.delaunay import Sites, delaunay
 from lamella.session import Table
 
 CLUSTER_ROLES = ("immune", "tumor", "stroma")
 PAIRS = (("immune", "tumor"), ("immune", "stroma"), ("tumor", "stroma"))
-MIN_CLUSTER, HULL_CHUNK = 5, 20_000
+MIN_CLUSTER = 5
+#: Points of a cluster in one batch from which on only their corners are sent; side of a cell in which hulls are held against each other.
+HULL_FROM, GRID = 60, 10_000
 
 
-def role_clusters(cells: DataFrame, longest: int = 500, least: int = MIN_CLUSTER) -> DataFrame:
-    """``slide, role, cluster, cell_id, qx, qy``: members of components of at least ``least`` cells; ``cluster`` is the lowest cell."""
-    own = Table(cells.where(F.col("role").isin(*CLUSTER_ROLES)).select(F.concat_ws("|", "role", "slide").alias("slide"), F.col("cell_id").alias("id"), "qx", "qy")).df
-    member = graph_components(delaunay_edges(own, longest))
-    rows = own.join(member, own["id"] == member["node"]).select(F.substring_index("slide", "|", 1).alias("role"), F.expr("substr(slide, instr(slide, '|') + 1)").alias("slide"), F.col("component").alias("cluster"), F.col("id").alias("cell_id"), "qx", "qy")
-    rows = Table(rows).df
-    large = rows.groupBy("slide", "role", "cluster").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return Table(rows.join(large, ["slide", "role", "cluster"])).df
+def tagged(cells: DataFrame, everything: bool = True) -> DataFrame:
+    """Points ``slide, id, qx, qy`` of all cells and of each role's alone, under slides named ``all|slide`` and ``role|slide``."""
+    own = F.when(F.col("role").isin(*CLUSTER_ROLES), F.col("role"))
+    tags = F.array_compact(F.array(F.lit("all"), own) if everything else F.array(own))
+    return cells.select(F.explode(tags).alias("tag"), "slide", F.col("cell_id").alias("id"), "qx", "qy").select(F.concat_ws("|", "tag", "slide").alias("slide"), "id", "qx", "qy")
+
 
+def untagged(df: DataFrame, tag: str, *others: str) -> DataFrame:
+    return df.select(F.substring_index("slide", "|", 1).alias(tag), F.expr("substr(slide, instr(slide, '|') + 1)").alias("slide"), *others)
 
-def _hull_points(pdf: pd.DataFrame) -> pd.DataFrame:
-    ring = hulls.hull(pdf[["qx", "qy"]].to_numpy())
-    head = pdf.iloc[[0] * len(ring)][["slide", "role", "cluster", "n"]].reset_index(drop=True)
-    return head.assign(qx=ring[:, 0], qy=ring[:, 1])
 
+def members(edges: DataFrame) -> DataFrame:
+    """``role, slide, cluster, cell_id, qx, qy`` of every cell with an edge; ``edges``: those of :func:`delaunay` on tagged points."""
+    ends = edges.where("slide not like 'all|%'").select("slide", "node", "i", "j", *[F.col(f"{e}{c}").alias(f"{e}q{c}") for e in "ij" for c in "xy"])
+    found = block_components(ends, ["slide"], "node", ["qx", "qy"])
+    return Table(untagged(found, "role", F.col("component").alias("cluster"), F.col("id").alias("cell_id"), "qx", "qy")).df
 
-def cluster_hulls(members: DataFrame) -> DataFrame:
-    """``slide, role, cluster, n, ring, area, perimeter`` (ring in grid steps, area in their squares); null when flat.
 
-    A hull is taken of chunks of a cluster first and then of their corners, so no cluster is one task's work.
+def role_clusters(cells: DataFrame, longest: int = 500, least: int = MIN_CLUSTER) -> DataFrame:
+    """``slide, role, cluster, cell_id, qx, qy``: members of components of at least ``least`` cells; ``cluster`` is the lowest cell."""
+    rows = members(delaunay(Sites(tagged(cells, False)), longest))
+    large = rows.groupBy("slide", "role", "cluster").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return rows.join(large.drop("n"), ["slide", "role", "cluster"])
+
+
+_KEY = ["slide", "role", "cluster"]
+
+
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Whole groups of rows that come in the order of ``keys``, also across batches."""
+    held = None
+    for pdf in batches:
+        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        new = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
+        starts = np.flatnonzero(new)
+        for a, b in zip(starts[:-1], starts[1:]):
+            yield pdf.iloc[a:b]
+        held = pdf.iloc[starts[-1] :].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
+def _some_corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of many points of a cluster in one batch only the corners of their hull go on; ``n`` counts those that they stand for."""
+    for pdf in batches:
+        pdf = pdf.sort_values(_KEY, kind="stable", ignore_index=True)
+        starts = np.flatnonzero((pdf[_KEY] != pdf[_KEY].shift()).any(axis=1).to_numpy())
+        ends = np.append(starts[1:], len(pdf))
+        many = ends - starts > HULL_FROM
+        alone = np.repeat(~many, ends - starts)
+        out = [pdf[alone].assign(n=np.int64(1))]
+        for a, b in zip(starts[many], ends[many]):
+            ring = hulls.hull(pdf[["qx", "qy"]].to_numpy()[a:b])
+            out.append(pdf.iloc[[a] * len(ring)][_KEY].assign(qx=ring[:, 0], qy=ring[:, 1], n=np.where(np.arange(len(ring)) == 0, b - a, 0)))
+        yield pd.concat(out, ignore_index=True)
+
+
+def cluster_hulls(rows: DataFrame, least: int = MIN_CLUSTER) -> DataFrame:
+    """``slide, role, cluster, n, ring, area, perimeter`` of clusters of at least ``least`` cells; ring in grid steps, area in their squares; null when flat.
+
+    A hull is taken of a cluster's points in each batch first and then of their corners, so no cluster is one task's work.
     """
-    schema = "slide string, role string, cluster bigint, n bigint, qx bigint, qy bigint"
-    chunk = F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("n") / HULL_CHUNK))
-    corners = members.select("slide", "role", "cluster", "n", "qx", "qy", chunk.alias("chunk")).groupBy("slide", "role", "cluster", "chunk").applyInPandas(_hull_points, schema)
+    corners = rows.select(*_KEY, "qx", "qy").mapInPandas(_some_corners, "slide string, role string, cluster bigint, qx bigint, qy bigint, n bigint")
 
-    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-        ring = hulls.hull(pdf[["qx", "qy"]].to_numpy())
-        flat = len(ring) < 3
-        head = pdf.iloc[0]
-        return pd.DataFrame({"slide": [head["slide"]], "role": [head["role"]], "cluster": [head["cluster"]], "n": [head["n"]], "ring": [None if flat else ring.ravel().astype(np.int64)], "area": [None if flat else hulls.area(ring)], "perimeter": [None if flat else hulls.perimeter(ring)]})
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
+        for g in _groups(batches, _KEY):
+            if (n := g["n"].sum()) >= least:
+                ring = hulls.hull(g[["qx", "qy"]].to_numpy())
+                flat = len(ring) < 3
+                out.append((*g.iloc[0][_KEY], n, None if flat else ring.ravel().astype(np.int64), None if flat else hulls.area(ring), None if flat else hulls.perimeter(ring)))
+        yield pd.DataFrame(out, columns=[*_KEY, "n", "ring", "area", "perimeter"])
 
-    return Table(corners.groupBy("slide", "role", "cluster").applyInPandas(whole, "slide string, role string, cluster bigint, n bigint, ring array<bigint>, area double, perimeter double")).df
+    placed = corners.repartition(*_KEY).sortWithinPartitions(*_KEY)
+    return Table(placed.mapInPandas(whole, "slide string, role string, cluster bigint, n bigint, ring array<bigint>, area double, perimeter double")).df
 
 
 def cluster_summary(cells: DataFrame, hull: DataFrame) -> DataFrame:
@@ -71,32 +120,43 @@ def cluster_summary(cells: DataFrame, hull: DataFrame) -> DataFrame:
     )
 
 
-def _overlap(pdf: pd.DataFrame) -> pd.DataFrame:
-    own = np.asarray(pdf["ring"].iloc[0], dtype=float).reshape(-1, 2)
-    # local coordinates keep products exact
-    zero = own[0]
-    parts = [hulls.clip(own - zero, np.asarray(r, dtype=float).reshape(-1, 2) - zero) for r in pdf["other"]]
-    hit = [p for p in parts if len(p)]
-    head = pdf.iloc[0]
-    return pd.DataFrame({"slide": [head["slide"]], "a": [head["a"]], "b": [head["b"]], "cluster": [head["cluster"]], "hits": [len(hit)], "ratio": [hulls.union_area(hit) / (pdf["area"].iloc[0] + 1e-7)]})
+_PLACE = ["slide", "a", "b", "cluster", "tx", "ty"]
+
+
+def _overlap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out = []
+    for g in _groups(batches, _PLACE):
+        head = g.iloc[0]
+        own = np.asarray(head["ring"], dtype=float).reshape(-1, 2)
+        # local coordinates keep products exact
+        zero = own[0]
+        x, y = head["tx"] * GRID - zero[0], head["ty"] * GRID - zero[1]
+        own = hulls.clip(own - zero, np.array([[x, y], [x + GRID, y], [x + GRID, y + GRID], [x, y + GRID]]))
+        parts = [hulls.clip(own, np.asarray(r, dtype=float).reshape(-1, 2) - zero) for r in g["other"]] if len(own) else []
+        hit = [p for p in parts if len(p)]
+        if hit:
+            out.append((*head[_PLACE[:4]], head["area"], hulls.union_area(hit)))
+    yield pd.DataFrame(out, columns=[*_PLACE[:4], "area", "covered"])
 
 
 def cluster_overlap(hull: DataFrame) -> DataFrame:
     """Per slide and pair of roles: part of a-hulls that meet a b-hull (touching counts), mean share of their area under b-hulls.
 
-    Null where the slide has no hull of one of the two; the ratio is 0 where none meet. Hulls meet their candidates by
-    the grid cells of 1 mm their boxes share.
+    Null where the slide has no hull of one of the two; the ratio is 0 where none meet. An a-hull is cut by a grid of
+    1 mm, and each cell's part meets the b-hulls of that cell alone, so a hull as wide as its slide is many groups.
     """
     h = hull.where("ring is not null")
     xs, ys = F.filter("ring", lambda v, i: i % 2 == 0), F.filter("ring", lambda v, i: i % 2 == 1)
     box = h.select("slide", "role", "cluster", "ring", "area", F.array_min(xs).alias("x1"), F.array_max(xs).alias("x2"), F.array_min(ys).alias("y1"), F.array_max(ys).alias("y2"))
     pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in PAIRS])
-    tiles = lambda lo, hi: F.sequence(F.floor(F.col(lo) / 10_000), F.floor(F.col(hi) / 10_000))
-    box = box.withColumn("p", F.explode(pairs))
-    a = box.where("role = p.a").withColumn("tx", F.explode(tiles("x1", "x2"))).withColumn("ty", F.explode(tiles("y1", "y2")))
-    b = box.where("role = p.b").withColumn("tx", F.explode(tiles("x1", "x2"))).withColumn("ty", F.explode(tiles("y1", "y2"))).select("slide", "p", "tx", "ty", F.col("ring").alias("other"), F.col("cluster").alias("oc"), F.col("x1").alias("u1"), F.col("x2").alias("u2"), F.col("y1").alias("v1"), F.col("y2").alias("v2"))
-    met = a.join(b, ["slide", "p", "tx", "ty"]).where("x1 <= u2 and u1 <= x2 and y1 <= v2 and v1 <= y2").dropDuplicates(["slide", "p", "cluster", "oc"])
-    each = met.select("slide", F.col("p.a").alias("a"), F.col("p.b").alias("b"), "cluster", "ring", "area", "other").groupBy("slide", "a", "b", "cluster").applyInPandas(_overlap, "slide string, a string, b string, cluster bigint, hits bigint, ratio double").where("hits > 0")
+    tiles = lambda lo, hi: F.sequence(F.floor(F.col(lo) / GRID), F.floor(F.col(hi) / GRID))
+    box = box.withColumn("p", F.explode(pairs)).where("role = p.a or role = p.b").withColumn("tx", F.explode(tiles("x1", "x2"))).withColumn("ty", F.explode(tiles("y1", "y2")))
+    box = box.select("slide", "role", F.col("p.a").alias("a"), F.col("p.b").alias("b"), "cluster", "ring", "area", "tx", "ty", "x1", "x2", "y1", "y2")
+    place = ["slide", "a", "b", "tx", "ty"]
+    b = box.where("role = b").select(*place, F.col("ring").alias("other"), F.col("x1").alias("u1"), F.col("x2").alias("u2"), F.col("y1").alias("v1"), F.col("y2").alias("v2"))
+    met = box.where("role = a").join(b, place).where("x1 <= u2 and u1 <= x2 and y1 <= v2 and v1 <= y2").select(*_PLACE, "ring", "area", "other")
+    part = met.repartition(*_PLACE).sortWithinPartitions(*_PLACE).mapInPandas(_overlap, "slide string, a string, b string, cluster bigint, area double, covered double")
+    each = part.groupBy("slide", "a", "b", "cluster").agg((F.sum("covered") / (F.max("area") + 1e-7)).alias("ratio"))
     got = each.groupBy("slide", "a", "b").agg(F.count("*").alias("hit"), F.avg("ratio").alias("ratio"))
     n = h.groupBy("slide", "role").agg(F.count("*").alias("n"))
     both = n.withColumnsRenamed({"role": "a", "n": "na"}).join(n.withColumnsRenamed({"role": "b", "n": "nb"}), "slide").where(" or ".join(f"(a = '{x}' and b = '{y}')" for x, y in PAIRS))

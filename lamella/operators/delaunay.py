@@ -6,10 +6,12 @@ iff ``min(cot left) + min(cot right) >= 0``. On the grid dot and cross are whole
 equal as doubles and ties (four or more points on one circle) are seen exactly: of the chords of such a circle the
 ones at its lowest id stay, a fan. A point strictly between i and j forbids the edge.
 
-Points near i are enough to reject a pair for good. They are enough to accept it once a sparing circle fits into the
-radius that was looked at. So k-d nodes with halo copies settle nearly all pairs at a small radius, what is left is
-looked at again at a larger one, and the few remaining (at the rim of the tissue) against all nodes of their slide,
-whose partial minima are merged. Each stage is written out and the parts are united by reading them back.
+Points near i are enough to reject a pair for good, and to accept it once a sparing circle fits into the radius that
+was looked at, so k-d nodes with halo copies settle nearly all pairs. What is left lies at the rim of the tissue or of
+a void. There the points near i fix the smallest circle that may spare all, and the pair is an edge iff no point lies
+in it: it goes to the nodes that this circle meets, at first with a part of the circle of bounded size, and each node
+looks into the circle by its k-d tree. The circles of true edges are empty, so that costs little however large they
+are, and no pair is ever held against all points of its slide.
 
 Coincident points: the lowest id stands for all, the others have no edges. Slides whose points all lie on one line
 have none. Null coordinates or ids are left out.
@@ -19,19 +21,20 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamella.functions.kdtree import KDTree
-from lamella.operators.near import home_node, kd_splits, strip, to_nodes
-from lamella.session import Table, cut
+from lamella.operators.near import kd_splits, to_nodes
+from lamella.session import Table
 
 TARGET = 20_000
-#: Radii in grid steps (0.1 um) at which pairs are looked at before all points of the slide are.
-RADII = (600, 3000)
+#: Radius in grid steps (0.1 um) around i that is looked at first; then radii of the circles, the last one without a bound.
+RADIUS, CIRCLES = 600, (4000, 40_000, None)
 NEAREST = 10
 
-_STATE = "slide string, i bigint, j bigint, ix bigint, iy bigint, jx bigint, jy bigint, d2 bigint, left double, left_id bigint, right double, right_id bigint, between boolean"
+_PAIR = ["i", "j", "ix", "iy", "jx", "jy"]
+_STATE = "slide string, node int, i bigint, j bigint, ix bigint, iy bigint, jx bigint, jy bigint, d2 bigint, left double, left_id bigint, right double, right_id bigint, between boolean"
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -72,9 +75,9 @@ class _Pairs:
     def alive(self) -> np.ndarray:
         return ~self.between & (self.left + self.right >= 0)
 
-    def frame(self, slide) -> pd.DataFrame:
+    def frame(self, slide, node) -> pd.DataFrame:
         d2 = (self.ix - self.jx) ** 2 + (self.iy - self.jy) ** 2
-        return pd.DataFrame({"slide": slide, "i": self.i, "j": self.j, "ix": self.ix, "iy": self.iy, "jx": self.jx, "jy": self.jy, "d2": d2, "left": self.left, "left_id": self.left_id, "right": self.right, "right_id": self.right_id, "between": self.between})
+        return pd.DataFrame({"slide": slide, "node": np.int32(node), "i": self.i, "j": self.j, "ix": self.ix, "iy": self.iy, "jx": self.jx, "jy": self.jy, "d2": d2, "left": self.left, "left_id": self.left_id, "right": self.right, "right_id": self.right_id, "between": self.between})
 
 
 def _spread(owner: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +88,16 @@ def _spread(owner: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.
 
 
 def _first_look(longest: int, radius: int):
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+    def work(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         ids, x, y = (pdf[c].to_numpy() for c in ("id", "qx", "qy"))
         home = np.flatnonzero(pdf["home"].to_numpy())
+        none = np.empty(0, dtype=np.int64)
+        out = [_Pairs(*[none] * 6).frame(*key)]
+        if not len(home):
+            # copies from other nodes only: no pair begins here
+            return out[0]
         xy = np.column_stack([x, y]).astype(float)
-        tree, out = KDTree(xy, leaf=24), []
+        tree = KDTree(xy, leaf=24)
         for block in np.array_split(home, max(1, len(home) // 400)):
             q, k = map(np.concatenate, zip(*tree.within(xy[block], radius)))
             d2 = (x[block[q]] - x[k]) ** 2 + (y[block[q]] - y[k]) ** 2
@@ -107,85 +115,110 @@ def _first_look(longest: int, radius: int):
                 p.see(pair, ids[k[place]], x[k[place]], y[k[place]])
                 keep = p.alive()
                 p, owner = p.take(keep), owner[keep]
-            out.append(p.frame(pdf["slide"].iloc[0]))
-        return pd.concat(out, ignore_index=True)
+            if len(p.i):
+                out.append(p.frame(*key))
+        return pd.concat(out[1:], ignore_index=True) if len(out) > 1 else out[0]
 
     return work
 
 
-def _look_again(radius: int | None):
-    """For pairs and points of one node: minima over the points within ``radius`` of i, or over all of the node's."""
-
-    def work(key, pairs: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        p = _Pairs(*(pairs[c].to_numpy() for c in ("i", "j", "ix", "iy", "jx", "jy")))
-        if len(pairs) and len(points):
-            ids, x, y = (points[c].to_numpy() for c in ("id", "qx", "qy"))
-            if radius is None:
-                step = max(1, 2_000_000 // len(ids))
-                for a in range(0, len(pairs), step):
-                    n = min(step, len(pairs) - a)
-                    every = np.tile(np.arange(len(ids)), n)
-                    p.see(np.repeat(np.arange(a, a + n), len(ids)), ids[every], x[every], y[every])
-            else:
-                tree = KDTree(np.column_stack([x, y]).astype(float), leaf=24)
-                for q, k in tree.within(np.column_stack([p.ix, p.iy]).astype(float), radius, block=500):
-                    order = np.argsort(q, kind="stable")
-                    p.see(q[order], ids[k[order]], x[k[order]], y[k[order]])
-        return p.frame(key[0])
+def _look_into_circles(key: tuple, pairs: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+    """For pairs and points of one node: minima over the points in each pair's circle."""
+    p = _Pairs(*(pairs[c].to_numpy() for c in _PAIR))
+    if len(pairs) and len(points):
+        ids, x, y = (points[c].to_numpy() for c in ("id", "qx", "qy"))
+        tree = KDTree(np.column_stack([x, y]).astype(float), leaf=24)
+        # a step more than the circle, so that points on its line are seen however far its centre is
+        for q, k in tree.within(pairs[["cx", "cy"]].to_numpy(), pairs["r"].to_numpy() + 1.0, block=64):
+            order = np.argsort(q, kind="stable")
+            p.see(q[order], ids[k[order]], x[k[order]], y[k[order]])
+    return p.frame(*key)
+
+
+def _bend() -> Column:
+    """The smallest circle through i and j that may spare all points has its centre so many halves of their distance to the left of their middle."""
+    return F.greatest(F.lit(0.0) - F.col("right"), F.least(F.lit(0.0), F.col("left")))
+
+
+def _seen() -> Column:
+    return F.least("left", "right") < float("inf")
 
-    return work
 
+def _within(diameter: int | None) -> Column:
+    """Whether the smallest circle that may spare all points is at most so wide."""
+    return F.lit(True) if diameter is None else F.col("d2") * (1 + _bend() * _bend()) <= float(diameter) ** 2
 
-def _settled(state: DataFrame, radius: int) -> DataFrame:
-    """``state`` of live pairs plus ``sure``: whether a sparing circle lies within ``radius`` of i."""
-    s = F.greatest(F.lit(0.0) - F.col("right"), F.least(F.lit(0.0), F.col("left")))
-    # a pair that saw no third point at all may be the whole of its slide's line, so it isn't sure yet
-    other = F.least("left", "right") < float("inf")
-    return state.withColumn("sure", other & (F.col("d2") * (1 + s * s) <= float(radius) * radius))
+
+def _in_circles(open_: DataFrame, sites: DataFrame, splits: DataFrame, radius: int | None) -> DataFrame:
+    """The state of open pairs with the minima over their circles, or over those of ``radius`` in them, taken in.
+
+    Narrower circles through i and j lie within wider ones on the side that matters; on the other side all points that
+    count are nearer to i than ``RADIUS`` and known.
+    """
+    most = F.lit(float("inf")) if radius is None else F.sqrt(F.greatest(F.lit(4.0 * radius * radius) / F.col("d2") - 1, F.lit(0.0)))
+    bend = F.signum(_bend()) * F.least(F.abs(_bend()), most)
+    at = open_.withColumn("bend", bend).withColumns({
+        "cx": (F.col("ix") + F.col("jx")) / 2 - F.col("bend") * (F.col("jy") - F.col("iy")) / 2, "cy": (F.col("iy") + F.col("jy")) / 2 + F.col("bend") * (F.col("jx") - F.col("ix")) / 2,
+        "r": F.sqrt(F.col("d2") * (1 + F.col("bend") * F.col("bend"))) / 2,
+    })
+    far = F.ceil(F.col("r")) + 1
+    asked = to_nodes(at.select("slide", *_PAIR, "cx", "cy", "r"), splits, F.floor("cx") - far, F.ceil("cx") + far, F.floor("cy") - far, F.ceil("cy") + far)
+    points = to_nodes(sites, splits, F.col("qx"), F.col("qx"), F.col("qy"), F.col("qy")).join(asked.select("slide", "node").distinct(), ["slide", "node"], "left_semi")
+    found = asked.groupBy("slide", "node").cogroup(points.groupBy("slide", "node")).applyInPandas(_look_into_circles, _STATE)
+    low = open_.drop("sure").unionByName(found).groupBy("slide", *_PAIR, "d2").agg(
+        F.min(F.struct("left", "left_id")).alias("l"), F.min(F.struct("right", "right_id")).alias("r"), F.bool_or("between").alias("between"), F.min("node").alias("node"))
+    return low.select("slide", "node", *_PAIR, "d2", "l.left", "l.left_id", "r.right", "r.right_id", "between").where("not between and left + right >= 0")
 
 
 def _edges(state: DataFrame) -> DataFrame:
     """Edges of pairs whose minima are final, ties settled by the fan of the lowest id."""
     tie = F.col("left") + F.col("right") == 0
     lowest = F.least("left_id", "right_id") > F.least("i", "j")
-    alone = (F.col("left") == float("inf")) & (F.col("right") == float("inf"))
-    keep = ~F.col("between") & (F.col("left") + F.col("right") >= 0) & ~alone & (~tie | lowest)
-    return state.where(keep).select("slide", "i", "j", F.sqrt(F.col("d2").cast("double")).alias("steps"))
+    keep = ~F.col("between") & (F.col("left") + F.col("right") >= 0) & _seen() & (~tie | lowest)
+    return state.where(keep).select("slide", "node", *_PAIR, F.sqrt(F.col("d2").cast("double")).alias("steps"))
+
+
+def _off_line(lone: DataFrame, sites: DataFrame) -> DataFrame:
+    """Of pairs that saw no third point those in slides whose points aren't all on one line; their circle is empty."""
+    some = lone.select("slide").distinct()
+    here = sites.join(some, "slide", "left_semi")
+    ends = here.groupBy("slide").agg(F.min(F.struct("qx", "qy")).alias("p"), F.max(F.struct("qx", "qy")).alias("q"))
+    cross = (F.col("q.qx") - F.col("p.qx")) * (F.col("qy") - F.col("p.qy")) - (F.col("q.qy") - F.col("p.qy")) * (F.col("qx") - F.col("p.qx"))
+    wide = here.join(ends, "slide").where(cross != 0).select("slide").distinct()
+    return lone.join(wide, "slide", "left_semi").select("slide", "node", *_PAIR, F.sqrt(F.col("d2").cast("double")).alias("steps"))
+
+
+class Sites:
+    """Distinct places of points ``slide, id, qx, qy`` (whole numbers; ids unique within a slide) and their k-d splits."""
+
+    def __init__(self, points: DataFrame, target: int = TARGET):
+        known = points.where("slide is not null and id is not null and qx is not null and qy is not null")
+        self.df = Table(known.groupBy("slide", "qx", "qy").agg(F.min("id").alias("id"))).df
+        self.splits = kd_splits(self.df, target)
+
+
+def delaunay(sites: Sites, longest: int = 500) -> DataFrame:
+    """``slide, node, i, j, ix, iy, jx, jy, steps`` (i < j): edges of at most ``longest`` grid steps with the k-d node of i."""
+    radius = max(RADIUS, longest)
+    x, y = F.col("qx"), F.col("qy")
+    copies = to_nodes(sites.df, sites.splits, x - radius, x + radius, y - radius, y + radius, (x, y))
+    first = copies.groupBy("slide", "node").applyInPandas(_first_look(longest, radius), _STATE)
+    sure = _seen() & _within(radius)
+    state = Table(first.withColumn("sure", sure), ~F.col("sure"))
+    out = _edges(state.df.where("sure"))
+    if state.counted:
+        rest = state.df.where("not sure")
+        out = out.unionByName(_off_line(rest.where(~_seen()), sites.df))
+        open_ = rest.where(_seen())
+        for wide in CIRCLES:
+            state = Table(_in_circles(open_, sites.df, sites.splits, wide).withColumn("sure", _within(None if wide is None else 2 * wide)), ~F.col("sure"))
+            out = out.unionByName(_edges(state.df.where("sure")))
+            if not state.counted:
+                break
+            open_ = state.df.where("not sure")
+    return out
 
 
 def delaunay_edges(points: DataFrame, longest: int = 500, target: int = TARGET) -> DataFrame:
-    """``slide, i, j, steps`` (i < j): Delaunay edges of at most ``longest`` grid steps.
-
-    ``points``: ``slide, id, qx, qy`` with whole coordinates; ids are unique within a slide.
-    """
-    sites = cut(points.where("slide is not null and id is not null and qx is not null and qy is not null").groupBy("slide", "qx", "qy").agg(F.min("id").alias("id")))
-    splits = kd_splits(sites, target)
-    own = Table(home_node(sites, splits).select("slide", "node", "id", "qx", "qy"))
-
-    def with_halo(radius: int) -> DataFrame:
-        copies = to_nodes(sites, splits, F.col("qx") - radius, F.col("qx") + radius, F.col("qy") - radius, F.col("qy") + radius)
-        s = strip(F.col("qx"), F.col("xcuts"))
-        mine = s * 1000 + strip(F.col("qy"), F.get(F.col("ycuts"), s))
-        return copies.join(splits, "slide").select("slide", "node", "id", "qx", "qy", (F.col("node") == mine).alias("home"))
-
-    near = max(RADII[0], longest)
-    first = Table(with_halo(near).groupBy("slide", "node").applyInPandas(_first_look(longest, near), _STATE)).df
-    seen = _settled(first, near)
-    parts = [_edges(seen.where("sure"))]
-    open_ = Table(seen.where("not sure").select("slide", "i", "j", "ix", "iy", "jx", "jy")).df
-    if open_.limit(1).count():
-        at = home_node(open_.withColumnsRenamed({"ix": "qx", "iy": "qy"}), splits).withColumnsRenamed({"qx": "ix", "qy": "iy"})
-        second = Table(at.groupBy("slide", "node").cogroup(with_halo(RADII[1]).groupBy("slide", "node")).applyInPandas(_look_again(RADII[1]), _STATE)).df
-        seen = _settled(second.where("not between and left + right >= 0"), RADII[1])
-        parts.append(_edges(seen.where("sure")))
-        rim = Table(seen.where("not sure").select("slide", "i", "j", "ix", "iy", "jx", "jy")).df
-        if rim.limit(1).count():
-            everywhere = rim.join(own.df.select("slide", "node").distinct(), "slide")
-            third = Table(everywhere).df.groupBy("slide", "node").cogroup(own.df.groupBy("slide", "node")).applyInPandas(_look_again(None), _STATE)
-            low = third.groupBy("slide", "i", "j", "d2").agg(F.min(F.struct("left", "left_id")).alias("l"), F.min(F.struct("right", "right_id")).alias("r"), F.bool_or("between").alias("between"))
-            whole = Table(low.select("slide", "i", "j", "d2", "l.left", "l.left_id", "r.right", "r.right_id", "between")).df
-            parts.append(_edges(whole))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return Table(out).df
+    """``slide, i, j, steps`` (i < j): Delaunay edges of at most ``longest`` grid steps of ``slide, id, qx, qy``."""
+    return Table(delaunay(Sites(points, target), longest).select("slide", "i", "j", "steps")).df

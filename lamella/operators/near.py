@@ -22,7 +22,7 @@ from lamella.operators.units import cells_in_um, position_units
 from lamella.session import cut
 
 #: Points a node should hold, and splits of one axis at most (so up to FAN * FAN nodes a slide).
-TARGET, FAN = 30_000, 64
+TARGET, FAN = 30_000, 256
 #: Radius of the sphere in grid steps; a node's width is a tiny angle on it.
 SPHERE = 1e10
 
@@ -35,13 +35,14 @@ def kd_splits(points: DataFrame, target: int = TARGET, fan: int = FAN) -> DataFr
     ``points``: ``slide, qx, qy``. Two aggregations of quantile sketches with map-side combine.
     """
     grid = F.array(*[F.lit(i / fan) for i in range(1, fan)])
-    pick = lambda cuts, k: F.array_sort(F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.lit(fan - 2)), lambda i: F.floor((i + 1) * k / fan) > F.floor(i * k / fan)), lambda i: F.get(cuts, i.cast("int")))))
+    # a cut at the lowest value would leave an empty strip before it
+    pick = lambda cuts, k, low: F.filter(F.array_sort(F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.lit(fan - 2)), lambda i: F.floor((i + 1) * k / fan) > F.floor(i * k / fan)), lambda i: F.get(cuts, i.cast("int"))))), lambda c: c > low)
     parts = lambda n: F.least(F.greatest(n, F.lit(1)), F.lit(fan))
-    x = points.groupBy("slide").agg(F.count("*").alias("n"), F.percentile_approx("qx", grid, 1000).alias("cuts"))
-    x = x.select("slide", pick(F.col("cuts"), parts(F.ceil(F.sqrt(F.col("n") / target)))).alias("xcuts"))
+    x = points.groupBy("slide").agg(F.count("*").alias("n"), F.percentile_approx("qx", grid, 2000).alias("cuts"), F.min("qx").alias("low"))
+    x = x.select("slide", pick(F.col("cuts"), parts(F.ceil(F.sqrt(F.col("n") / target))), F.col("low")).alias("xcuts"))
     x = cut(x)
-    y = points.join(x, "slide").groupBy("slide", strip(F.col("qx"), F.col("xcuts")).alias("strip")).agg(F.count("*").alias("n"), F.percentile_approx("qy", grid, 1000).alias("cuts"))
-    y = y.select("slide", "strip", pick(F.col("cuts"), parts(F.ceil(F.col("n") / target))).alias("cuts"))
+    y = points.join(x, "slide").groupBy("slide", strip(F.col("qx"), F.col("xcuts")).alias("strip")).agg(F.count("*").alias("n"), F.percentile_approx("qy", grid, 2000).alias("cuts"), F.min("qy").alias("low"))
+    y = y.select("slide", "strip", pick(F.col("cuts"), parts(F.ceil(F.col("n") / target)), F.col("low")).alias("cuts"))
     # at most FAN strips a slide; a strip without points has no cuts
     per = y.groupBy("slide").agg(F.map_from_entries(F.collect_list(F.struct("strip", "cuts"))).alias("m"))
     none = F.array().cast("array<bigint>")
@@ -54,17 +55,23 @@ def strip(at: Column, cuts: Column) -> Column:
     return F.size(F.filter(cuts, lambda c: c <= at))
 
 
-def to_nodes(df: DataFrame, splits: DataFrame, x1: Column, x2: Column, y1: Column, y2: Column) -> DataFrame:
-    """A copy of each row for every node that its box meets: adds ``node``, and ``home`` for its lower corner's node."""
+def node_at(x: Column, y: Column) -> Column:
+    """The node of a place, on rows joined to splits."""
+    s = strip(x, F.col("xcuts"))
+    return s * 1000 + strip(y, F.get(F.col("ycuts"), s))
+
+
+def to_nodes(df: DataFrame, splits: DataFrame, x1: Column, x2: Column, y1: Column, y2: Column, at: tuple[Column, Column] | None = None) -> DataFrame:
+    """A copy of each row for every node that its box meets: adds ``node`` and, with a place ``at``, ``home``: whether that is the place's node."""
     j = df.join(splits, "slide")
     strips = F.sequence(strip(x1, F.col("xcuts")), strip(x2, F.col("xcuts")))
     nodes = F.flatten(F.transform(strips, lambda s: F.transform(F.sequence(strip(y1, F.get(F.col("ycuts"), s)), strip(y2, F.get(F.col("ycuts"), s))), lambda t: s * 1000 + t)))
-    return j.withColumn("node", F.explode(nodes)).drop("xcuts", "ycuts")
+    j = j.withColumn("node", F.explode(nodes))
+    return (j if at is None else j.withColumn("home", F.col("node") == node_at(*at))).drop("xcuts", "ycuts")
 
 
 def home_node(df: DataFrame, splits: DataFrame) -> DataFrame:
-    s = strip(F.col("qx"), F.col("xcuts"))
-    return df.join(splits, "slide").withColumn("node", s * 1000 + strip(F.col("qy"), F.get(F.col("ycuts"), s))).drop("xcuts", "ycuts")
+    return df.join(splits, "slide").withColumn("node", node_at(F.col("qx"), F.col("qy"))).drop("xcuts", "ycuts")
 
 
 def _node_worker(radius: int):
@@ -109,16 +116,13 @@ def near_and_inside(points: DataFrame, regions: DataFrame, radius: int, target:
     points = cut(points)
     splits = kd_splits(points.select("slide", "qx", "qy"), target)
     none = F.lit(None).cast("array<double>")
-    home = home_node(points, splits).select("slide", "node", "id", "kind", "qx", "qy", F.lit(True).alias("home"), none.alias("ring"))
-    near = points.where(F.col("kind") == NEIGHBOUR)
-    halo = to_nodes(near, splits, F.col("qx") - radius, F.col("qx") + radius, F.col("qy") - radius, F.col("qy") + radius)
-    own = strip(F.col("qx"), F.col("xcuts"))
-    # the home copy is in ``home`` already
-    halo = halo.join(splits, "slide").where(F.col("node") != own * 1000 + strip(F.col("qy"), F.get(F.col("ycuts"), own))).select("slide", "node", "id", "kind", "qx", "qy", F.lit(False).alias("home"), none.alias("ring"))
+    # neighbours go to every node within the radius, other points to their own
+    x, y, r = F.col("qx"), F.col("qy"), F.when(F.col("kind") == NEIGHBOUR, radius).otherwise(0)
+    copies = to_nodes(points, splits, x - r, x + r, y - r, y + r, (x, y)).select("slide", "node", "id", "kind", "qx", "qy", "home", none.alias("ring"))
     xs, ys = F.filter("ring", lambda v, i: i % 2 == 0), F.filter("ring", lambda v, i: i % 2 == 1)
     boxes = to_nodes(regions, splits, F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys))
     boxes = boxes.select("slide", "node", "id", F.lit(REGION).alias("kind"), F.lit(0).cast("bigint").alias("qx"), F.lit(0).cast("bigint").alias("qy"), F.lit(False).alias("home"), "ring")
-    every = home.unionByName(halo).unionByName(boxes)
+    every = copies.unionByName(boxes)
     return every.groupBy("slide", "node").applyInPandas(_node_worker(radius), "relation string, id_a bigint, id_b bigint")
 
 

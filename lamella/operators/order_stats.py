@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamella.session import Table, bounded
+from lamella.session import BROADCAST_ROWS, Table
 
 SLACK, ACCURACY = 0.002, 5000
 
@@ -21,16 +21,21 @@ def finite(col: Column) -> Column:
     return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
 
 
-def percentiles(values: DataFrame, keys: list[str], percents: dict[str, float]) -> DataFrame:
-    """``keys`` and one column per wanted percentile of ``v`` (linear interpolation); ``v`` without nulls."""
-    wanted = [p for q in percents.values() for p in (max(q - SLACK, 0.0), min(q + SLACK, 1.0))]
-    sketch = values.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("v", wanted, ACCURACY).alias("q"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-    sketch = Table(sketch).df
+def stat_block(rows: DataFrame, keys: list[str], percents: tuple[int, ...] = (10, 50, 90)) -> DataFrame:
+    """``keys``, ``n``, ``mean``, ``std`` (population), ``skew`` and ``p<percent>`` (linear interpolation) of finite values ``v``.
+
+    Groups without a finite value are absent. ``skew`` is 0 for up to two values, null for equal ones. ``rows`` is read
+    twice: once for moments and brackets of all groups, once for what lies in and below the brackets.
+    """
+    values = rows.where(F.col("v").isNotNull())
+    wanted = [p for q in percents for p in (max(q / 100 - SLACK, 0.0), min(q / 100 + SLACK, 1.0))]
+    moments = [F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.when(F.count("*") <= 2, F.lit(0.0)).otherwise(F.skewness("v")).alias("skew")]
+    sketch = Table(values.groupBy(*keys).agg(*moments, F.percentile_approx("v", wanted, ACCURACY).alias("q"), F.min("v").alias("vmin"), F.max("v").alias("vmax")), F.lit(True))
     # small groups are within the sketch's error as a whole
     lo = lambda i: F.when(F.col("n") <= 2000, F.col("vmin")).otherwise(F.col("q")[2 * i])
     hi = lambda i: F.when(F.col("n") <= 2000, F.col("vmax")).otherwise(F.col("q")[2 * i + 1])
-    brackets = sketch.select(*keys, "n", F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(q) * (F.col("n") - 1)).alias("at"), lo(i).alias("lo"), hi(i).alias("hi")) for i, q in enumerate(percents.values())]).alias("__b"))
-    joined = values.join(bounded(brackets), keys).select(*keys, "v", F.explode("__b").alias("__b"))
+    brackets = sketch.df.select(*keys, F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(q / 100) * (F.col("n") - 1)).alias("at"), lo(i).alias("lo"), hi(i).alias("hi")) for i, q in enumerate(percents)]).alias("__b"))
+    joined = values.join(F.broadcast(brackets) if sketch.counted <= BROADCAST_ROWS else brackets, keys).select(*keys, "v", F.explode("__b").alias("__b"))
     # below the bracket all rows fold into one; inside it equal values do; above it none is needed
     kept = joined.where(F.col("v") <= F.col("__b.hi"))
     folded = kept.groupBy(*keys, F.col("__b.i").alias("__i"), F.col("__b.at").alias("at"), F.when(F.col("v") >= F.col("__b.lo"), F.col("v")).alias("v")).agg(F.count("*").alias("c"))
@@ -39,22 +44,5 @@ def percentiles(values: DataFrame, keys: list[str], percents: dict[str, float])
     ends = placed.groupBy(*keys, "__i").agg(
         F.min(F.when(F.col("end") > F.floor("at"), F.col("v"))).alias("__a"), F.min(F.when(F.col("end") > F.ceil("at"), F.col("v"))).alias("__z"), F.max(F.col("at") - F.floor("at")).alias("__t"))
     value = F.col("__a") + (F.col("__z") - F.col("__a")) * F.col("__t")
-    return ends.groupBy(*keys).agg(*[F.max(F.when(F.col("__i") == i, value)).alias(name) for i, name in enumerate(percents)])
-
-
-def stat_block(rows: DataFrame, keys: list[str], value: Column, low: int = 10, skew: bool = False) -> DataFrame:
-    """``keys``, ``n``, ``mean``, ``std`` (population), ``p<low>``, ``p90`` and, if asked for, ``skew`` of finite values.
-
-    Groups without a finite value are absent. ``skew`` is 0 for up to two values, null for equal ones.
-    """
-    v = Table(rows.select(*keys, finite(value).alias("v")).where("v is not null")).df
-    moments = [F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std")]
-    if skew:
-        moments.append(F.when(F.count("*") <= 2, F.lit(0.0)).otherwise(F.skewness("v")).alias("skew"))
-    return v.groupBy(*keys).agg(*moments).join(percentiles(v, keys, {f"p{low}": low / 100, "p90": 0.9}), keys)
-
-
-def tall(block: DataFrame, keys: list[str], prefix: Column, stats: list[str]) -> DataFrame:
-    """One row per statistic: ``keys``, ``feature`` (prefix and name), ``value``."""
-    pairs = F.array(*[F.struct(F.concat(prefix, F.lit(f"__{s}")).alias("feature"), F.col(s).cast("double").alias("value")) for s in stats])
-    return block.select(*keys, F.inline(pairs))
+    found = ends.groupBy(*keys).agg(*[F.max(F.when(F.col("__i") == i, value)).alias(f"p{q}") for i, q in enumerate(percents)])
+    return sketch.df.select(*keys, "n", "mean", "std", "skew").join(found, keys)

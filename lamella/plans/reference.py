@@ -50,7 +50,8 @@ def _graph_block(build) -> Query:
 def _node_block(build) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
         cells, edges = _graph(spark, d)
-        return _rounded(build(cells, features.node_measures(cells, edges), edges))
+        ends, nodes = features.nodes_of(cells, edges)
+        return _rounded(build(cells, nodes, ends))
 
     return query
 
@@ -73,8 +74,8 @@ def delaunay(spark: SparkSession, d: str) -> DataFrame:
 
 def degree(spark: SparkSession, d: str) -> DataFrame:
     cells, edges = _graph(spark, d)
-    n = features.directed(edges).groupBy("cell_id").agg(F.count("*").alias("n"))
-    return cells.join(n, "cell_id", "left").select("slide", "cell_id", F.coalesce("n", F.lit(0)).alias("degree"))
+    n = features.directed(edges).groupBy("slide", "cell_id").agg(F.count("*").alias("n"))
+    return cells.join(n, ["slide", "cell_id"], "left").select("slide", "cell_id", F.coalesce("n", F.lit(0)).alias("degree"))
 
 
 def neighbor_mean(spark: SparkSession, d: str) -> DataFrame:
@@ -91,13 +92,12 @@ def pair_distances(spark: SparkSession, d: str) -> DataFrame:
 
 def nearest_features(spark: SparkSession, d: str) -> DataFrame:
     cells = stored_cells(spark, d)
-    return _rounded(features.nearest_features(cells, features.pair_distances(cells)))
+    return _rounded(features.nearest_features(cells, Table(features.pair_distances(cells)).df))
 
 
 def infiltration(spark: SparkSession, d: str) -> DataFrame:
     cells, edges = _graph(spark, d)
-    near = features.nearest_features(cells, features.pair_distances(cells))
-    return _rounded(features.infiltration(cells, features.node_measures(cells, edges), Table(near).df))
+    return _rounded(features.infiltration(cells, features.nodes_of(cells, edges)[1], Table(features.pair_distances(cells)).df))
 
 
 def role_clusters(spark: SparkSession, d: str) -> DataFrame:
@@ -126,7 +126,7 @@ def cluster_features(spark: SparkSession, d: str) -> DataFrame:
 def cell_measurements(spark: SparkSession, d: str) -> DataFrame:
     """Per cell what a viewer shows; values that aren't defined are 0."""
     cells, edges = _graph(spark, d)
-    n = features.node_measures(cells, edges)
+    n = features.nodes_of(cells, edges)[1]
     part = lambda r: F.when(F.col("degree") > 0, F.col(f"n_{r}") / F.col("degree")).otherwise(0.0)
     sds = [F.round(f"sd_{c}", 4).alias(f"{c}_local_sd") for c in ("area", "eccentricity", "circularity")]
     return n.select("slide", "cell_id", F.round(part("immune"), DIGITS).alias("immune_frac"), F.round(part("tumor"), DIGITS).alias("tumor_frac"), F.round(F.coalesce(features.mixedness(n), F.lit(0.0)), DIGITS).alias("mixedness"), *sds)
@@ -139,7 +139,7 @@ def interaction(spark: SparkSession, d: str) -> DataFrame:
 
 def feature_vector(spark: SparkSession, d: str) -> DataFrame:
     """The 144 features of each slide, tall."""
-    return features.all_features(*_graph(spark, d))
+    return features.all_features(stored_cells(spark, d))
 
 
 def cluster_geojson(spark: SparkSession, d: str) -> DataFrame:
@@ -159,10 +159,9 @@ def roi_cells(spark: SparkSession, d: str) -> DataFrame:
 def roi_features(spark: SparkSession, d: str) -> DataFrame:
     """The 144 features of the cells of each region, with the graph built anew on them."""
     inside = roi_cells(spark, d)
+    # a region is a slide of its own here, so a cell may lie in several
     cells = Table(inside.join(stored_cells(spark, d), "cell_id").withColumn("slide", F.col("roi_id").cast("string")).drop("roi_id")).df
-    # a cell may lie in several regions, so it takes part in each under a name of its own
-    cells = Table(cells.withColumn("cell_id", F.xxhash64("slide", "cell_id"))).df
-    return _rounded(features.all_features(cells, graph_edges(cells)))
+    return _rounded(features.all_features(cells))
 
 
 def polygon_shapes(spark: SparkSession, d: str) -> DataFrame:
@@ -254,10 +253,10 @@ QUERIES: dict[str, Query] = {
     "delaunay_edges": delaunay,
     "degree": degree,
     "neighbor_mean": neighbor_mean,
-    "local_sd": _node_block(lambda cells, nodes, edges: features.local_sd(cells, nodes)),
+    "local_sd": _node_block(lambda cells, nodes, ends: features.local_sd(cells, nodes)),
     "type_boundary": _graph_block(features.type_boundary),
     "neighborhood": _node_block(features.neighborhood),
-    "same_role": _node_block(lambda cells, nodes, edges: features.same_role(cells, nodes)),
+    "same_role": _node_block(lambda cells, nodes, ends: features.same_role(cells, nodes)),
     "edge_enrichment": _graph_block(features.edge_enrichment),
     "infiltration": infiltration,
     "pair_distances": pair_distances,

@@ -5,7 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 50_000
 
 _roots: dict[str, str] = {}
+T = TypeVar("T")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -70,6 +75,12 @@ def cut(df: DataFrame) -> DataFrame:
     return Table(df).df
 
 
+def together(spark: SparkSession, *builds: Callable[[], T]) -> list[T]:
+    """Results of ``builds``, which write tables that don't depend on each other, so that their jobs share the cluster."""
+    with ThreadPoolExecutor(len(builds)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(b)) for b in builds]]
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is (the join shuffles)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

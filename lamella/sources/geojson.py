@@ -35,16 +35,16 @@ def hull_features(hulls: DataFrame, mpp: DataFrame) -> DataFrame:
 
 def interaction_edges(cells: DataFrame, edges: DataFrame, role_a: str = "immune", role_b: str = "tumor", most: int | None = None) -> DataFrame:
     """``slide, i, j, steps`` of edges between two roles in either order; ``most`` draws a fixed uniform sample by hash."""
-    role = cells.select("cell_id", "role")
-    e = edges.join(role.withColumnsRenamed({"cell_id": "i", "role": "ri"}), "i").join(role.withColumnsRenamed({"cell_id": "j", "role": "rj"}), "j")
+    role = cells.select("slide", "cell_id", "role")
+    e = edges.join(role.withColumnsRenamed({"cell_id": "i", "role": "ri"}), ["slide", "i"]).join(role.withColumnsRenamed({"cell_id": "j", "role": "rj"}), ["slide", "j"])
     e = e.where(((F.col("ri") == role_a) & (F.col("rj") == role_b)) | ((F.col("ri") == role_b) & (F.col("rj") == role_a))).select("slide", "i", "j", "steps")
     return e if most is None else e.orderBy(F.xxhash64(F.lit(0), "i", "j")).limit(most)
 
 
 def edge_features(edges: DataFrame, cells: DataFrame, mpp: DataFrame) -> DataFrame:
     """``slide, feature``: edges as lines in px."""
-    at = cells.select("cell_id", "qx", "qy")
-    e = edges.join(at.withColumnsRenamed({"cell_id": "i", "qx": "ix", "qy": "iy"}), "i").join(at.withColumnsRenamed({"cell_id": "j", "qx": "jx", "qy": "jy"}), "j").join(mpp, "slide")
+    at = cells.select("slide", "cell_id", "qx", "qy")
+    e = edges.join(at.withColumnsRenamed({"cell_id": "i", "qx": "ix", "qy": "iy"}), ["slide", "i"]).join(at.withColumnsRenamed({"cell_id": "j", "qx": "jx", "qy": "jy"}), ["slide", "j"]).join(mpp, "slide")
     px = lambda c: F.round(F.col(c) / 10 / F.col("mpp"), 2)
     geometry = F.struct(F.lit("LineString").alias("type"), F.array(F.array(px("ix"), px("iy")), F.array(px("jx"), px("jy"))).alias("coordinates"))
     return e.select("slide", _feature("annotation", geometry, F.lit("interaction"), F.array(*map(F.lit, GREY)), F.struct(F.round(F.col("steps") / 10, 3).alias("length_um"))).alias("feature"))

@@ -5,7 +5,8 @@ from hypothesis import strategies as st
 
 from lamella.functions import hulls
 from lamella.functions.kdtree import KDTree, strictly_inside
-from lamella.operators.components import graph_components
+from lamella.operators.clusters import cluster_overlap
+from lamella.operators.components import block_components, graph_components, labels
 from lamella.operators.delaunay import delaunay_edges
 from lamella.operators.near import near_and_inside
 from lamella.operators.nearest import nearest
@@ -22,7 +23,8 @@ def test_kdtree(n, m, seed):
     d = ((q[:, None] - p[None]) ** 2).sum(axis=2)
     got = {(a, b) for x, y in tree.within(q, 5.0, block=7) for a, b in zip(x.tolist(), y.tolist())}
     assert got == set(zip(*map(lambda v: v.tolist(), np.nonzero(d <= 25))))
-    assert np.array_equal(tree.nearest(q), d.min(axis=1))
+    assert np.array_equal(tree.nearest(q)[:, 0], d.min(axis=1))
+    assert np.array_equal(tree.nearest(q, 3)[:, : min(3, n)], np.sort(d, axis=1)[:, :3])
 
 
 def test_strictly_inside():
@@ -86,7 +88,15 @@ def test_delaunay(spark):
     line = pd.DataFrame({"slide": "L", "id": np.arange(9), "qx": np.arange(9) * 40, "qy": 3})
     sparse = pd.DataFrame({"slide": "S", "id": np.arange(5), "qx": [0, 400, 5000, 5400, 5200], "qy": [0, 0, 4000, 4000, 4300]})
     twins = pd.DataFrame({"slide": "D", "id": np.arange(5), "qx": [0, 0, 100, 0, 100], "qy": [0, 0, 0, 100, 100]})
-    p = pd.concat([_points(3, 300, 4000).drop(columns="kind"), grid, line, sparse, twins])
+    # a third of the points in the first column; one row; and a coast: flat arcs whose circles are wider than any node
+    column = _points(7, 300, 4000).drop(columns="kind").assign(slide="C")
+    column.loc[column.index < 100, "qx"] = column.qx.min()
+    row = _points(8, 200, 4000).drop(columns="kind").assign(slide="R")
+    row.loc[row.index < 80, "qy"] = 0
+    k = np.arange(120)
+    coast = pd.DataFrame({"slide": "O", "id": k, "qx": k * 60, "qy": (k - 60) ** 2 // 90})
+    bay = pd.concat([coast, coast.assign(id=k + 200, qy=9000 - coast.qy)]).assign(slide="Q")
+    p = pd.concat([_points(3, 300, 4000).drop(columns="kind"), grid, line, sparse, twins, column, row, coast, bay])
     e = delaunay_edges(spark.createDataFrame(p), 500, 120).toPandas()
     for slide, g in p.groupby("slide"):
         own = e[e.slide == slide]
@@ -104,6 +114,10 @@ def test_nearest(spark):
     for r in q.itertuples():
         d = np.sqrt(((t.qx - r.qx) ** 2 + (t.qy - r.qy) ** 2).min()) if r.slide == "A" else np.inf
         assert got[r.id] == d
+    for r in nearest(spark.createDataFrame(q), spark.createDataFrame(t), target=15, k=3).collect():
+        me = q[q.id == r.id].iloc[0]
+        d = np.sqrt(np.sort((t.qx - me.qx) ** 2 + (t.qy - me.qy) ** 2)[:3]).tolist() if me.slide == "A" else [np.inf] * 3
+        assert r.steps == d
     one = nearest(spark.createDataFrame(q), spark.createDataFrame(q), other=True, target=15)
     for r in one.collect():
         me = q[q.id == r.id].iloc[0]
@@ -117,6 +131,27 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 6: 6, 7: 6, 8: 6, 9: 6, 10: 6, 20: 20, 21: 20}
 
 
+def test_components_across_blocks(spark):
+    rng = np.random.default_rng(2)
+    pairs = pd.DataFrame({"slide": np.where(np.arange(300) % 2, "a", "b"), "node": rng.integers(0, 6, 300), "i": rng.integers(0, 250, 300), "j": rng.integers(0, 250, 300)})
+    pairs["ix"], pairs["jx"] = pairs.i * 3, pairs.j * 3
+    for share in (1, 100):
+        got = {(r.slide, r.id): (r.component, r.x) for r in block_components(spark.createDataFrame(pairs.assign(node=pairs.node // share)), ["slide"], "node", ["x"]).collect()}
+        for s, g in pairs.groupby("slide"):
+            low = labels(g.i.to_numpy(), g.j.to_numpy(), 250)
+            assert {k[1]: v for k, v in got.items() if k[0] == s} == {int(n): (int(low[n]), int(n) * 3) for n in set(g.i) | set(g.j)}
+
+
+def test_overlap_of_hulls_wider_than_a_cell(spark):
+    rect = lambda x, y, w, h: [x, y, x + w, y, x + w, y + h, x, y + h]
+    rows = [("S", "immune", 1, 9, rect(-4000, -4000, 33_000, 12_000)), ("S", "tumor", 2, 9, rect(0, 0, 5000, 5000)), ("S", "tumor", 3, 9, rect(2000, 2000, 20_000, 2000)), ("S", "tumor", 4, 9, rect(29_000, 0, 10, 10)), ("S", "stroma", 5, 9, rect(50_000, 0, 10, 10))]
+    hull = spark.createDataFrame([(*r, float((r[4][2] - r[4][0]) * (r[4][5] - r[4][1]))) for r in rows], "slide string, role string, cluster bigint, n bigint, ring array<bigint>, area double")
+    got = {(r.a, r.b): (r.meets_frac, r.overlap_ratio) for r in cluster_overlap(hull).collect()}
+    assert got[("immune", "stroma")] == (0.0, 0.0) and got[("immune", "tumor")][0] == 1.0
+    assert abs(got[("immune", "tumor")][1] - (25e6 + 40e6 - 6e6) / (33e3 * 12e3)) < 1e-9
+    assert cluster_overlap(hull.limit(0)).count() == 0
+
+
 def test_hulls():
     square = np.array([[0, 0], [4, 0], [4, 4], [0, 4], [2, 2], [2, 0]])
     h = hulls.hull(square)
