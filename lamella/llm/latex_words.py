@@ -34,25 +34,45 @@ def macros(text: str) -> dict[str, tuple[int, str]]:
     return found
 
 
-def expand(text: str, defined: dict[str, tuple[int, str]], rounds: int = 4) -> str:
-    """``text`` with author macros replaced, also inside each other."""
+#: Characters that a text may grow to when its macros are put in; a macro that doubles itself over and over stays as it is.
+MOST_EXPANDED = 50_000_000
+
+
+def expand(text: str, defined: dict[str, tuple[int, str]]) -> str:
+    """``text`` with author macros replaced, also inside each other and in their arguments.
+
+    Every replacement is worked out once, those that it uses first; a macro that uses itself stays as it is. Then one
+    pass over the text puts them in.
+    """
     names = "|".join(sorted(map(re.escape, defined), key=len, reverse=True))
     most = max(n for n, _ in defined.values())
-    pattern = re.compile(r"\\(" + names + r")(?![A-Za-z@])" + (r"((?:\s*\{[^{}]*\}){0,%d})" % most if most else "()") + r"(?:\{\})?")
+    group = r"\{(?:[^{}]|\{[^{}]*\})*\}"
+    pattern = re.compile(r"\\(" + names + r")(?![A-Za-z@])" + (r"((?:\s*" + group + r"){0,%d})" % most if most else "()") + r"(?:\{\})?")
+    arguments = re.compile(group)
+    whole: dict[str, str | None] = {}
+    room = MOST_EXPANDED
+
+    def body(name: str) -> str | None:
+        if name not in whole:
+            # while its own replacement is worked out, a name has none
+            whole[name] = None
+            whole[name] = pattern.sub(put, defined[name][1])
+        return whole[name]
 
     def put(m: re.Match) -> str:
-        n, body = defined[m[1]]
-        given = re.findall(r"\{([^{}]*)\}", m[2])
+        nonlocal room
+        out = body(m[1])
+        if out is None or len(out) > room:
+            return m[0]
+        n = defined[m[1]][0]
+        given = [pattern.sub(put, g[1:-1]) for g in arguments.findall(m[2])]
         for i in range(n):
-            body = body.replace(f"#{i + 1}", given[i] if i < len(given) else " ")
-        return body + "".join(" " + g + " " for g in given[n:])
-
-    for _ in range(rounds):
-        new = pattern.sub(put, text)
-        if new == text or len(new) > 4 * len(text) + 10_000:
-            break
-        text = new
-    return text
+            out = out.replace(f"#{i + 1}", given[i] if i < len(given) else " ")
+        out += "".join(" " + g + " " for g in given[n:])
+        room -= len(out)
+        return out
+
+    return pattern.sub(put, text)
 
 
 def _accent(m: re.Match) -> str:

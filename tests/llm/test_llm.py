@@ -276,6 +276,44 @@ def _item(n, seed):
     return ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)]
 
 
+def _greedy(item, runs, least):
+    free, used, out = np.ones(len(item), bool), [np.ones(len(r), bool) for r in runs], []
+    while True:
+        best = None
+        for k, r in enumerate(runs):
+            for p in range(len(item)):
+                for q in range(len(r)):
+                    n = 0
+                    while p + n < len(item) and q + n < len(r) and item[p + n] == r[q + n] and free[p + n] and used[k][q + n]:
+                        n += 1
+                    if n >= least and (best is None or (-n, p, k, q) < best):
+                        best = (-n, p, k, q)
+        if best is None:
+            return out
+        n, p, k, q = -best[0], *best[1:]
+        free[p : p + n], used[k][q : q + n] = False, False
+        out.append((p, k, n))
+
+
+@pytest.mark.parametrize("listed", [leakage.LISTED_PAIRS, 0])
+def test_tiles_against_plain_greedy(monkeypatch, listed):
+    monkeypatch.setattr(leakage, "LISTED_PAIRS", listed)
+    rng = np.random.default_rng(0)
+    for _ in range(15):
+        item, runs = rng.integers(0, 3, 30), [rng.integers(0, 3, int(rng.integers(2, 40))) for _ in range(2)]
+        assert leakage.tile(item, runs, 4) == _greedy(item, runs, 4)
+    assert leakage.tile(np.full(500, 7), [np.full(5000, 7)], 12) == [(0, 0, 500)]
+
+
+def test_macros():
+    chain = "".join(r"\newcommand{\%s}{%s \%s}" % (a, a, b) for a, b in zip("abcdefg", "bcdefgh")) + r"\newcommand{\h}[1]{<#1 \loop>}\def\loop{\loop on}"
+    # seven deep, and a macro that uses itself stays as it is
+    got = words(chain + r" start \a{x}")
+    assert got[got.index("start") + 1 :][:7] == list("abcdefg")
+    assert words(r"\newcommand{\big}{%s}" % ("long words " * 2000) + r" \big" * 30).count("long") == 31 * 2000
+    assert words(r"\def\x{\y\y}\def\y{\z\z}\def\z{v} \x")[-4:] == ["v"] * 4
+
+
 def test_leaks_against_brute_force(spark):
     items = {1: _item(40, 1), 2: _item(30, 2), 3: _item(5, 3), 4: _item(12, 4) + _item(40, 1)[:12]}
     docs = {
@@ -292,8 +330,9 @@ def test_leaks_against_brute_force(spark):
             grams = {tuple(y[k : k + m]) for k in range(len(y) - m + 1)}
             if any(tuple(x[k : k + m]) in grams for k in range(len(x) - m + 1)):
                 want.add((a, b))
-    for block in (leakage.BLOCK_WORDS, 35):
-        rows = leakage.leaks(d, i, block_words=block).collect()
+    # with the seeds sent to the tasks, and by a join of all windows
+    for few in (leakage.FILTER_SEEDS, 10):
+        rows = leakage.leaks(d, i, filter_seeds=few).collect()
         assert {(r.doc_id, r.item_id) for r in rows} == want and len(rows) == len(want)
     both = {(r.doc_id, r.item_id): r for r in rows}
     assert both[(5, 2)].n_tiles == 2 and both[(5, 2)].coverage == 1.0 and both[(9, 1)].longest == 40
