@@ -23,52 +23,63 @@ from lamella.session import cut
 NOMINAL_MPP = 10.0
 
 
+SCALE = T.StructType([T.StructField("name", T.StringType()), T.StructField("factor", T.DoubleType()), T.StructField("kind", T.StringType())])
+
+
+def _scales(found: list) -> pd.DataFrame:
+    return pd.DataFrame([f or (None, None, None) for f in found], columns=["name", "factor", "kind"]).astype({"factor": float})
+
+
 def _parser(field: str):
-    @pandas_udf(T.StringType())
-    def parse(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: unit_text.unit_name(t, field) if isinstance(t, str) else None).astype(object)
+    @pandas_udf(SCALE)
+    def parse(text: pd.Series) -> pd.DataFrame:
+        return _scales([unit_text.scale(t, field) if isinstance(t, str) else None for t in text])
 
     return parse
 
 
-@pandas_udf(T.StringType())
-def _note_unit(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: unit_text.note_unit(t) if isinstance(t, str) else None).astype(object)
+@pandas_udf(SCALE)
+def _note_unit(text: pd.Series) -> pd.DataFrame:
+    return _scales([unit_text.note_scale(t) if isinstance(t, str) else None for t in text])
 
 
-@pandas_udf(T.StringType())
-def _header_ring(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: unit_text.header_ring(t) if isinstance(t, str) else None).astype(object)
+@pandas_udf(SCALE)
+def _header_ring(text: pd.Series) -> pd.DataFrame:
+    return _scales([unit_text.header_ring(t) if isinstance(t, str) else None for t in text])
 
 
-@pandas_udf(T.StructType([T.StructField("value", T.DoubleType()), T.StructField("unit", T.StringType())]))
+@pandas_udf(T.StructType([T.StructField("value", T.DoubleType()), *SCALE.fields]))
 def _header_resolution(text: pd.Series) -> pd.DataFrame:
-    found = [(unit_text.header_resolution(t) if isinstance(t, str) else None) or (None, None) for t in text]
-    return pd.DataFrame(found, columns=["value", "unit"])
+    found = [(unit_text.header_resolution(t) if isinstance(t, str) else None) for t in text]
+    return pd.concat([pd.DataFrame({"value": pd.Series([f[0] if f else None for f in found], dtype=float)}), _scales([f and f[1] for f in found])], axis=1)
+
+
+def _known(unit: Column) -> Column:
+    """A parsed unit as a struct, null where the text tells none."""
+    return F.when(unit["name"].isNotNull(), F.struct(unit["name"].alias("name"), unit["factor"].alias("factor"), unit["kind"].alias("kind")))
+
+
+def _constant(name: str, factor: float, kind: str) -> Column:
+    return F.struct(F.lit(name).alias("name"), F.lit(factor).alias("factor"), F.lit(kind).alias("kind"))
 
 
 def to_mpp(value: Column, unit: Column) -> Column:
     """um per px of a resolution in ``unit``."""
-    return (
-        F.when(unit == "um_per_px", value)
-        .when(unit == "nm_per_px", value / 1e3)
-        .when(unit == "mm_per_px", value * 1e3)
-        .when(unit == "px_per_cm", F.try_divide(F.lit(1e4), value))
-        .when(unit == "px_per_inch", F.try_divide(F.lit(25400.0), value))
-    )
+    return F.when(unit["kind"] == "um_per_px", value * unit["factor"]).when(unit["kind"] == "px_per_um", F.try_divide(F.lit(1.0), value * unit["factor"]))
 
 
-RESOLUTION_UNITS = ("um_per_px", "nm_per_px", "mm_per_px", "px_per_cm", "px_per_inch")
+#: Units that a resolution without any text may have.
+RESOLUTION_UNITS = (("um_per_px", 1.0, "um_per_px"), ("nm_per_px", 1e-3, "um_per_px"), ("mm_per_px", 1e3, "um_per_px"), ("px_per_cm", 1e-4, "px_per_um"), ("px_per_inch", 1 / 25400, "px_per_um"))
 
 
-def _nearest(candidates: list[tuple[str, Column]], target: Column) -> Column:
-    """The name whose positive value is nearest to ``target`` in proportion; null where none is known."""
+def _nearest(candidates: list[tuple[Column, Column]], target: Column) -> Column:
+    """The unit (a struct) whose positive value is nearest to ``target`` in proportion; null where none is known."""
     def gap(v):
         return F.when((v > 0) & (target > 0), F.abs(F.log(v / target)))
 
-    gaps = [F.struct(gap(v).alias("gap"), F.lit(i).alias("i"), F.lit(n).alias("name")) for i, (n, v) in enumerate(candidates)]
+    gaps = [F.struct(gap(v).alias("gap"), F.lit(i).alias("i"), u.alias("unit")) for i, (u, v) in enumerate(candidates)]
     best = F.array_min(F.filter(F.array(*gaps), lambda s: s["gap"].isNotNull()))
-    return best["name"]
+    return best["unit"]
 
 
 def export_resolutions(exports: DataFrame, slides: DataFrame) -> DataFrame:
@@ -79,13 +90,13 @@ def export_resolutions(exports: DataFrame, slides: DataFrame) -> DataFrame:
     e = e.join(s, "slide", "left")
     own = F.col("inference_mpp").isNotNull() & ~F.isnan("inference_mpp")
     value = F.when(own, F.col("inference_mpp")).otherwise(F.col("told.value"))
-    fit = _nearest([(u, to_mpp(F.col("mpp_value"), F.lit(u))) for u in RESOLUTION_UNITS], F.coalesce(NOMINAL_MPP / F.nullif(F.col("level0_magnification"), F.lit(0)), F.lit(0.35)))
+    fit = _nearest([(_constant(*u), to_mpp(F.col("mpp_value"), _constant(*u))) for u in RESOLUTION_UNITS], F.coalesce(NOMINAL_MPP / F.nullif(F.col("level0_magnification"), F.lit(0)), F.lit(0.35)))
     e = e.withColumn("mpp_value", value).where("mpp_value is not null")
     # a header that tells a unit for a value that stands in the column as well
     agrees = F.abs(F.col("told.value") / F.col("mpp_value") - 1) < 1e-3
-    label = F.when(own, F.coalesce("label", F.when(agrees, F.col("told.unit")))).otherwise(F.col("told.unit"))
-    e = e.withColumn("given", label).withColumn("resolution_unit", F.coalesce("given", fit))
-    return e.select("export_id", "slide", "mpp_value", "resolution_unit", F.col("given").isNotNull().alias("labelled"), to_mpp(F.col("mpp_value"), F.col("resolution_unit")).alias("mpp"))
+    label = F.when(own, F.coalesce(_known(F.col("label")), F.when(agrees, _known(F.col("told"))))).otherwise(_known(F.col("told")))
+    e = e.withColumn("given", label).withColumn("unit", F.coalesce("given", fit))
+    return e.select("export_id", "slide", "mpp_value", F.col("unit.name").alias("resolution_unit"), F.col("given").isNotNull().alias("labelled"), to_mpp(F.col("mpp_value"), F.col("unit")).alias("mpp"))
 
 
 def slide_resolution(exports: DataFrame, slides: DataFrame) -> DataFrame:
@@ -102,12 +113,13 @@ def slide_resolution(exports: DataFrame, slides: DataFrame) -> DataFrame:
     return s.join(r, "slide", "left").select("slide", F.coalesce("stated", "fitted", NOMINAL_MPP / F.nullif(F.col("m"), F.lit(0)), F.lit(0.35)).alias("mpp"))
 
 
-def um_per(unit: Column, mpp: Column) -> Column:
-    """um in one unit of position."""
-    return F.when(unit == "um", F.lit(1.0)).when(unit == "px", mpp).when(unit == "mm", F.lit(1e3)).when(unit == "nm", F.lit(1e-3))
+def um_per(unit: Column, mpp: Column, target: Column) -> Column:
+    """um in one unit of position; ``target``: level-0 px in a px at the target magnification."""
+    return F.when(unit["kind"] == "um", unit["factor"]).when(unit["kind"] == "px", unit["factor"] * mpp).when(unit["kind"] == "target_px", unit["factor"] * target * mpp)
 
 
-POSITION_UNITS = ("um", "px", "mm", "nm")
+#: Units that positions without any text may have.
+POSITION_UNITS = (("um", 1.0, "um"), ("px", 1.0, "px"), ("mm", 1e3, "um"), ("nm", 1e-3, "um"))
 
 
 def position_units(cells: DataFrame, deliveries: DataFrame, exports: DataFrame, slides: DataFrame) -> DataFrame:
@@ -120,20 +132,22 @@ def position_units(cells: DataFrame, deliveries: DataFrame, exports: DataFrame,
     ext = cells.groupBy("delivery_id", "slide", "coord_unit").agg(F.max(F.nanvl("cx", F.lit(None))).cast("double").alias("mx"), F.max(F.nanvl("cy", F.lit(None))).cast("double").alias("my"))
     notes = deliveries.groupBy("delivery_id").agg(F.min(F.struct("note")).alias("n")).select("delivery_id", F.col("n.note").alias("note"))
     mpp = slide_resolution(exports, slides)
-    size = slides.groupBy("slide").agg(F.max("level0_width").alias("w"), F.max("level0_height").alias("h"))
+    size = slides.groupBy("slide").agg(F.max("level0_width").alias("w"), F.max("level0_height").alias("h"), F.max(F.try_divide(F.col("level0_magnification"), F.col("target_magnification"))).alias("target"))
     e = ext.join(notes, "delivery_id", "left").join(mpp, "slide", "left").join(size, "slide", "left")
     e = e.withColumn("label", _parser("position")("coord_unit")).withColumn("told", _note_unit("note"))
     e = cut(e)
-    def reach(u: str):
-        f = um_per(F.lit(u), F.col("mpp"))
+
+    def reach(u: tuple):
+        f = um_per(_constant(*u), F.col("mpp"), F.lit(1.0))
         return F.greatest(F.col("mx") * f / (F.col("w") * F.col("mpp")), F.col("my") * f / (F.col("h") * F.col("mpp")))
 
     # the unlabelled rows of a delivery share one unit: the largest reach that still fits the slide
-    rest = e.where("label is null").groupBy("delivery_id", "slide").agg(*[F.max(reach(u)).alias(u) for u in POSITION_UNITS])
-    fits = F.array(*[F.struct(F.when(F.col(u) <= 1.02, F.col(u)).alias("r"), F.lit(u).alias("u")) for u in POSITION_UNITS])
+    rest = e.where("label.name is null").groupBy("delivery_id", "slide").agg(*[F.max(reach(u)).alias(u[0]) for u in POSITION_UNITS])
+    fits = F.array(*[F.struct(F.when(F.col(u[0]) <= 1.02, F.col(u[0])).alias("r"), _constant(*u).alias("u")) for u in POSITION_UNITS])
     rest = rest.select("delivery_id", "slide", F.array_max(F.filter(fits, lambda s: s["r"].isNotNull()))["u"].alias("fit"))
-    e = e.join(rest, ["delivery_id", "slide"], "left").withColumn("unit", F.coalesce("label", "told", "fit", F.lit("um")))
-    return cut(e.select("delivery_id", "slide", "coord_unit", "unit", um_per(F.col("unit"), F.coalesce("mpp", F.lit(0.35))).alias("um")))
+    unit = F.coalesce(_known(F.col("label")), _known(F.col("told")), F.col("fit"), _constant(*POSITION_UNITS[0]))
+    e = e.join(rest, ["delivery_id", "slide"], "left").withColumn("unit", unit)
+    return cut(e.select("delivery_id", "slide", "coord_unit", F.col("unit.name").alias("unit"), um_per(F.col("unit"), F.coalesce("mpp", F.lit(0.35)), F.coalesce("target", F.lit(1.0))).alias("um")))
 
 
 def cells_in_um(cells: DataFrame, units: DataFrame, grid: float = 0.1) -> DataFrame:
@@ -149,64 +163,54 @@ def cells_in_um(cells: DataFrame, units: DataFrame, grid: float = 0.1) -> DataFr
     return joined.withColumns({"qx": q("cx"), "qy": q("cy"), "unit": F.col("__u")}).drop("__d", "__s", "__c", "__u", "__f")
 
 
+def _whole_points(mask: Column) -> Column:
+    return F.filter(mask["coordinates"], lambda q: q.isNotNull() & F.get(q, 0).isNotNull() & F.get(q, 1).isNotNull())
+
+
 def ring_units(documents: DataFrame, slides: DataFrame, mpp: DataFrame) -> DataFrame:
-    """The unit of ring coordinates of each export with at least one point: ``export_id, slide, ring_unit``.
+    """The unit of ring coordinates of each export with at least one point: ``export_id, slide, ring_unit, factor, kind``.
 
     ``documents`` is unified (see :func:`lamella.sources.masks.unified`). Without label and header text, the scale of
     the rings against the masks' own centroids (level-0 px) decides: the slope through the origin of tile-local
-    centroids on ring means, summed over the export; without any centroid, the reach of the rings in their tile.
+    centroids on ring centres, summed over the export; without any centroid, the reach of the rings in their tile.
+    Only the undecided exports' tiles are spread over the cluster and looked into.
     """
-    rows = documents.select("export_id", "slide", "coord_space", "header_text", F.inline(_mask_means(F.col("cell_masks"))))
-    lx, ly = F.col("centroid_x") - F.col("x") * F.col("width"), F.col("centroid_y") - F.col("y") * F.col("height")
-    ok = F.col("centroid_x").isNotNull() & F.col("centroid_y").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0)
-    agg = rows.groupBy("export_id", "slide", "coord_space", "header_text").agg(
-        F.sum(F.when(ok, lx * F.col("mean_x") + ly * F.col("mean_y"))).alias("sxy"),
-        F.sum(F.when(ok, F.col("mean_x") ** 2 + F.col("mean_y") ** 2)).alias("sxx"),
-        F.max("width").alias("width"),
-        F.max(F.greatest("mean_x", "mean_y")).alias("reach"),
-    )
-    e = agg.withColumn("label", _parser("ring")("coord_space")).withColumn("told", _header_ring("header_text")).join(mpp, "slide", "left")
-    slope = F.try_divide(F.col("sxy"), F.col("sxx"))
-    width = F.col("width").cast("double")
-    scales = [("px", F.lit(1.0)), ("um", F.try_divide(F.lit(1.0), F.col("mpp"))), ("half_px", F.lit(2.0)), ("tile_fraction", width)]
-    by_slope = _nearest(scales, slope)
-    by_reach = _nearest(scales, F.try_divide(width, F.col("reach")))
-    return e.select("export_id", "slide", F.coalesce("label", "told", by_slope, by_reach, F.lit("px")).alias("ring_unit"))
-
-
-MEAN_ROW = "array<struct<x:bigint,y:bigint,width:bigint,height:bigint,centroid_x:double,centroid_y:double,mean_x:double,mean_y:double>>"
-
-
-def _mask_means(tiles: Column) -> Column:
-    """One row per mask with a point: its tile, its centroid and the centre of its ring (of area, else the vertex mean)."""
-
-    def ring(points: Column) -> Column:
-        p = F.filter(points, lambda q: q.isNotNull() & F.get(q, 0).isNotNull() & F.get(q, 1).isNotNull())
-        return F.when(F.size(p) > 0, p)
-
-    def centre(p: Column, axis: int) -> Column:
-        n = F.size(p)
-        mean = F.aggregate(p, F.lit(0.0), lambda a, q: a + F.get(q, axis)) / n
-        nxt = F.concat(F.slice(p, 2, F.greatest(n - 1, F.lit(0))), F.slice(p, 1, 1))
-        cross = F.zip_with(p, nxt, lambda a, b: F.struct((F.get(a, 0) * F.get(b, 1) - F.get(b, 0) * F.get(a, 1)).alias("c"), (F.get(a, axis) + F.get(b, axis)).alias("s")))
-        area = F.aggregate(cross, F.lit(0.0), lambda a, s: a + s["c"])
-        moment = F.aggregate(cross, F.lit(0.0), lambda a, s: a + s["c"] * s["s"])
-        return F.when(F.abs(area) > 1e-9, moment / (3 * area)).otherwise(mean)
-
-    def one(t):
-        def make(m):
-            p = ring(m["coordinates"])
-            return F.when(
-                p.isNotNull(),
-                F.struct(
-                    t["x"].alias("x"), t["y"].alias("y"), t["width"].alias("width"), t["height"].alias("height"),
-                    F.get(m["centroid"], 0).alias("centroid_x"), F.get(m["centroid"], 1).alias("centroid_y"), centre(p, 0).alias("mean_x"), centre(p, 1).alias("mean_y"),
-                ),
-            )
-
-        return F.coalesce(F.when(t["masks"].isNotNull(), F.filter(F.transform(t["masks"], make), lambda r: r.isNotNull())), F.array().cast(MEAN_ROW))
-
-    return F.flatten(F.transform(F.filter(tiles, lambda t: t.isNotNull()), one)).cast(MEAN_ROW)
+    pointed = F.exists("cell_masks", lambda t: F.coalesce(F.exists(t["masks"], lambda m: F.coalesce(F.size(_whole_points(m)) > 0, F.lit(False))), F.lit(False)))
+    d = documents.withColumn("label", _parser("ring")("coord_space")).withColumn("told", _header_ring("header_text")).where(F.coalesce(pointed, F.lit(False)))
+    said = F.coalesce(_known(F.col("label")), _known(F.col("told")))
+    decided = d.where(said.isNotNull()).select("export_id", "slide", said.alias("unit"))
+    tiles = d.where(said.isNull()).select("export_id", "slide", F.posexplode("cell_masks").alias("pos", "t")).where("t.masks is not null")
+    # a fixed number of partitions, so that few large documents are many tasks
+    tiles = tiles.repartition(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), "export_id", "pos")
+    rows = tiles.select("export_id", "slide", "t.x", "t.y", "t.width", "t.height", F.explode("t.masks").alias("m")).withColumn("p", _whole_points(F.col("m"))).where("size(p) > 0")
+    rows = rows.withColumn("c", _ring_centre(F.col("p"))).withColumns({"gx": F.get("m.centroid", 0), "gy": F.get("m.centroid", 1)})
+    lx, ly = F.col("gx") - F.col("x") * F.col("width"), F.col("gy") - F.col("y") * F.col("height")
+    ok = F.col("gx").isNotNull() & F.col("gy").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0)
+    agg = rows.groupBy("export_id", "slide").agg(
+        F.sum(F.when(ok, lx * F.col("c.x") + ly * F.col("c.y"))).alias("sxy"), F.sum(F.when(ok, F.col("c.x") ** 2 + F.col("c.y") ** 2)).alias("sxx"),
+        F.max("width").alias("width"), F.max(F.greatest("c.x", "c.y")).alias("reach"),
+    )
+    slope, width = F.try_divide(F.col("sxy"), F.col("sxx")), F.col("width").cast("double")
+    scales = [(_constant("px", 1.0, "px"), F.lit(1.0)), (_constant("um", 1.0, "um"), F.try_divide(F.lit(1.0), F.col("mpp"))), (_constant("half_px", 2.0, "px"), F.lit(2.0)), (_constant("tile_fraction", 1.0, "tile"), width)]
+    by_fit = F.coalesce(_nearest(scales, slope), _nearest(scales, F.try_divide(width, F.col("reach"))), scales[0][0])
+    fitted = agg.join(mpp, "slide", "left").select("export_id", "slide", by_fit.alias("unit"))
+    return decided.unionByName(fitted).select("export_id", "slide", F.col("unit.name").alias("ring_unit"), "unit.factor", "unit.kind")
+
+
+def _ring_centre(p: Column) -> Column:
+    """``x, y``: the centre of a ring's area in one pass over its points, else the mean of them."""
+    n = F.size(p)
+    edges = F.zip_with(p, F.concat(F.slice(p, 2, F.greatest(n - 1, F.lit(0))), F.slice(p, 1, 1)), lambda a, b: F.struct(F.get(a, 0).alias("x"), F.get(a, 1).alias("y"), F.get(b, 0).alias("u"), F.get(b, 1).alias("v")))
+
+    def add(t: Column, e: Column) -> Column:
+        cross = e["x"] * e["v"] - e["u"] * e["y"]
+        return F.struct((t["c"] + cross).alias("c"), (t["mx"] + cross * (e["x"] + e["u"])).alias("mx"), (t["my"] + cross * (e["y"] + e["v"])).alias("my"), (t["sx"] + e["x"]).alias("sx"), (t["sy"] + e["y"]).alias("sy"))
+
+    def centre(t: Column) -> Column:
+        flat = F.abs(t["c"]) <= 1e-9
+        return F.struct(F.when(flat, t["sx"] / n).otherwise(F.try_divide(t["mx"], 3 * t["c"])).alias("x"), F.when(flat, t["sy"] / n).otherwise(F.try_divide(t["my"], 3 * t["c"])).alias("y"))
+
+    return F.aggregate(edges, F.struct(*[F.lit(0.0).alias(k) for k in ("c", "mx", "my", "sx", "sy")]), add, centre)
 
 
 def patch_units(slides: DataFrame, patches: DataFrame, mpp: DataFrame) -> DataFrame:
@@ -222,8 +226,10 @@ def patch_units(slides: DataFrame, patches: DataFrame, mpp: DataFrame) -> DataFr
     size = {"px": v, "target_px": v * F.col("level0_magnification") / F.nullif(F.col("target_magnification"), F.lit(0)), "um": v / F.col("mpp"), "mm": v * 1000 / F.col("mpp")}
     for u, c in size.items():
         s = s.withColumn(f"size_{u}", c)
+    per = F.try_divide(F.col("level0_magnification"), F.col("target_magnification"))
+    s = s.withColumn("size_label", F.when(F.col("label.kind") == "um", v * F.col("label.factor") / F.col("mpp")).when(F.col("label.kind") == "px", v * F.col("label.factor")).when(F.col("label.kind") == "target_px", v * F.col("label.factor") * per))
     s = cut(s)
-    open_ = s.where("label is null").select("slide", *[F.round(f"size_{u}").cast("bigint").alias(f"int_{u}") for u in size]).distinct()
+    open_ = s.where("label.name is null").select("slide", *[F.round(f"size_{u}").cast("bigint").alias(f"int_{u}") for u in size]).distinct()
     grid = patches.select("slide", "patch_x_level0", "patch_y_level0").join(open_, "slide")
     def misses(u):
         k = F.col(f"int_{u}")
@@ -236,11 +242,11 @@ def patch_units(slides: DataFrame, patches: DataFrame, mpp: DataFrame) -> DataFr
     by_grid = F.array_max(F.filter(cands, lambda c: c["size"].isNotNull()))["u"]
     octave = lambda c: F.abs(F.log2(c / 64) - F.round(F.log2(c / 64))) + F.when((c < 32) | (c > 4096), 9.0).otherwise(0.0)
     alone = F.array_min(F.filter(F.array(*[F.struct(F.when(F.col(f"size_{u}") > 0, F.round(octave(F.col(f"size_{u}")), 3)).alias("gap"), F.lit(i).alias("i"), F.lit(u).alias("u")) for i, u in enumerate(size)]), lambda c: c["gap"].isNotNull()))["u"]
-    unit = F.coalesce("label", by_grid, alone, F.lit("px"))
+    unit = F.coalesce("label.name", by_grid, alone, F.lit("px"))
     chosen = F.lit(None).cast("double")
     for u in size:
         chosen = F.when(F.col("patch_unit") == u, F.col(f"size_{u}")).otherwise(chosen)
-    return s.withColumn("patch_unit", unit).select("slide_id", "slide", "patch_unit", F.round(chosen, 3).alias("patch_px"))
+    return s.withColumn("patch_unit", unit).select("slide_id", "slide", "patch_unit", F.round(F.coalesce("size_label", chosen), 3).alias("patch_px"))
 
 
 def units_found(cells: DataFrame, deliveries: DataFrame, documents: DataFrame, slides: DataFrame, patches: DataFrame) -> DataFrame:

@@ -21,6 +21,26 @@ def test_unit_names(text, field, name):
     assert u.unit_name(text, field) == name
 
 
+@pytest.mark.parametrize(
+    "text, field, factor, kind",
+    [
+        ("10 um", "position", 10, "um"), ("0.1 um", "position", 0.1, "um"), ("100 nm", "position", 0.1, "um"), ("0,5 mm", "position", 500, "um"), ("cm", "position", 1e4, "um"),
+        ("inch", "position", 25400, "um"), ("m", "position", 1e6, "um"), ("pm", "position", 1e-6, "um"), ("dm", "position", 1e5, "um"), ("Å", "position", 1e-4, "um"), ("thou", "position", 25.4, "um"),
+        ("px @ level 1", "position", 2, "px"), ("2 px", "position", 2, "px"), ("px (L0)", "position", 1, "px"), ("px at target magnification", "position", 1, "target_px"), ("10um", "position", 10, "um"),
+        ("cm/px", "resolution", 1e4, "um_per_px"), ("px/mm", "resolution", 1e-3, "px_per_um"), ("px/um", "resolution", 1, "px_per_um"), ("px/m", "resolution", 1e-6, "px_per_um"), ("um per px at level 1", "resolution", 0.5, "um_per_px"),
+        ("1000 px/cm", "resolution", 0.1, "px_per_um"), ("mm", "ring", 1e3, "um"), ("nm", "ring", 1e-3, "um"), ("nm", "patch", 1e-3, "um"), ("cm", "patch", 1e4, "um"), ("tenths of a micron", "patch", 0.1, "um"),
+    ],
+)
+def test_factors(text, field, factor, kind):
+    got = u.scale(text, field)
+    assert got.kind == kind and got.factor == pytest.approx(factor)
+
+
+def test_dimensions_that_a_field_cannot_have():
+    assert u.parse("mm²", "position").dims == (2, 0) and u.scale("mm²", "position") is None
+    assert u.scale("um/px", "position") is None and u.scale("um", "resolution") is None and u.scale("20", "position") is None
+
+
 @pytest.mark.parametrize(
     "note, unit",
     [
@@ -34,10 +54,11 @@ def test_notes(note, unit):
 
 
 def test_headers():
-    assert u.header_resolution("784/64 tiles; 20000,0 px/cm (from scanner header)") == (20000.0, "px_per_cm")
+    named = lambda t: (u.header_resolution(t)[0], u.header_resolution(t)[1].name)
+    assert named("784/64 tiles; 20000,0 px/cm (from scanner header)") == (20000.0, "px_per_cm")
     assert u.header_resolution("batch 8; model v2") is None
-    assert u.header_resolution("scale: 39555,1 1/cm") == (39555.1, "px_per_cm")
-    assert u.header_ring("mixed precision; vertices given as level-1 px") == "half_px"
+    assert named("scale: 39555,1 1/cm") == (39555.1, "px_per_cm")
+    assert u.header_ring("mixed precision; vertices given as level-1 px").name == "half_px"
     assert u.header_ring("784/64 tiles") is None
 
 
