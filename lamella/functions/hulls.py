@@ -80,3 +80,39 @@ def union_area(polygons: list[np.ndarray]) -> float:
             reach = max(reach, hi)
         total += height * (x2 - x1)
     return total
+
+
+def solidity(rings: list[np.ndarray | None]) -> np.ndarray:
+    """Area of each ring (x0, y0, x1, y1 ...) as a share of its convex hull's; NaN without area.
+
+    Rings of like length are wrapped together: from the lowest corner on, every step takes for each ring the point that
+    has all others on its left.
+    """
+    out = np.full(len(rings), np.nan)
+    size = np.array([0 if r is None else len(r) // 2 for r in rings])
+    for n in np.unique(size[size >= 3]):
+        own = np.flatnonzero(size == n)
+        p = np.stack([np.asarray(rings[k], dtype=float).reshape(-1, 2) for k in own])
+        p = p - p[:, :1]
+        x, y = p[..., 0], p[..., 1]
+        area_ = np.abs((x * np.roll(y, -1, axis=1) - np.roll(x, -1, axis=1) * y).sum(axis=1)) / 2
+        rows, start = np.arange(len(own)), np.lexsort((y.ravel(), x.ravel(), np.repeat(np.arange(len(own)), n))).reshape(-1, n)[:, 0] % n
+        at, twice, live = start.copy(), np.zeros(len(own)), np.ones(len(own), dtype=bool)
+        for _ in range(n):
+            dx, dy = x - x[rows, at][:, None], y - y[rows, at][:, None]
+            best = np.zeros(len(own), dtype=np.int64)
+            for k in range(1, n):
+                bx, by = dx[rows, best], dy[rows, best]
+                cross = bx * dy[:, k] - by * dx[:, k]
+                far = dx[:, k] ** 2 + dy[:, k] ** 2 > bx**2 + by**2
+                best = np.where((cross < 0) | ((cross == 0) & far), k, best)
+            twice += np.where(live, x[rows, at] * y[rows, best] - x[rows, best] * y[rows, at], 0.0)
+            at = np.where(live, best, at)
+            # coincident points end a ring's walk as its first corner does
+            live &= (x[rows, at] != x[rows, start]) | (y[rows, at] != y[rows, start])
+            if not live.any():
+                break
+        hull_area = np.abs(twice) / 2
+        with np.errstate(invalid="ignore", divide="ignore"):
+            out[own] = np.where((area_ > 0) & (hull_area > 0), np.minimum(area_ / hull_area, 1.0), np.where(hull_area > 0, 0.0, np.nan))
+    return out

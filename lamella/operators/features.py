@@ -153,6 +153,13 @@ def mixedness(nodes: DataFrame) -> Column:
     return F.when(F.col("degree") > 0, 1 - F.greatest(*[F.col(f"n_{r}") for r in ROLES]) / F.col("degree"))
 
 
+def measurements(nodes: DataFrame) -> DataFrame:
+    """``slide, cell_id`` and what a viewer shows of a cell's neighbourhood; values that aren't defined are 0."""
+    part = lambda r: F.when(F.col("degree") > 0, F.col(f"n_{r}") / F.col("degree")).otherwise(0.0)
+    sds = [F.col(f"sd_{c}").alias(f"{c}_local_sd") for c in ("area", "eccentricity", "circularity")]
+    return nodes.select("slide", "cell_id", part("immune").alias("immune_frac"), part("tumor").alias("tumor_frac"), F.coalesce(mixedness(nodes), F.lit(0.0)).alias("mixedness"), *sds)
+
+
 def boundary_values(ends: DataFrame) -> DataFrame:
     far = {f"diversity__{c}_at_type_boundary": F.abs(F.col(f"{c}_i").cast("double") - F.col(f"{c}_j").cast("double")) for c in CHANNELS}
     return _tall(ends.where("cell_type_i <> cell_type_j"), far)

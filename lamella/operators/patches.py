@@ -61,6 +61,7 @@ def binned(cells: DataFrame, patches: DataFrame, side: DataFrame) -> DataFrame:
     c = cells.join(s, "slide").withColumn("bx", F.floor(F.col("x") / F.col("patch_px"))).withColumn("by", F.floor(F.col("y") / F.col("patch_px")))
     p = patches.select("slide", "patch_x_level0", "patch_y_level0").distinct().join(s, "slide")
     p = p.select("slide", F.floor(F.col("patch_x_level0") / F.col("patch_px")).alias("bx"), F.floor(F.col("patch_y_level0") / F.col("patch_px")).alias("by"), "patch_x_level0", "patch_y_level0")
+    # of corners in one cell of the grid, which a valid grid has not, the last
     p = p.groupBy("slide", "bx", "by").agg(F.max(F.struct("patch_x_level0", "patch_y_level0")).alias("p")).select("slide", "bx", "by", "p.*")
     return c.join(p, ["slide", "bx", "by"], "left")
 

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.functions.hulls import area, hull
 from lamella.functions.polygons import shape
 from lamella.operators import clusters, features, patches
 from lamella.operators.cells import ROLES, at_least, cell_table, stored_cells
@@ -16,7 +15,9 @@ from lamella.operators.near import near_and_inside, rings_on_grid
 from lamella.operators.units import patch_units, slide_resolution
 from lamella.plans import sql
 from lamella.session import Table, read
-from lamella.sources.geojson import cell_features, hull_features, interaction_edges
+from lamella.sources.cells import ring_solidity
+from lamella.sources import geojson
+from lamella.sources.geojson import cell_features, edge_features, hull_features, interaction_edges
 from lamella.sources.masks import unified
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,11 +126,8 @@ def cluster_features(spark: SparkSession, d: str) -> DataFrame:
 
 def cell_measurements(spark: SparkSession, d: str) -> DataFrame:
     """Per cell what a viewer shows; values that aren't defined are 0."""
-    cells, edges = _graph(spark, d)
-    n = features.nodes_of(cells, edges)[1]
-    part = lambda r: F.when(F.col("degree") > 0, F.col(f"n_{r}") / F.col("degree")).otherwise(0.0)
-    sds = [F.round(f"sd_{c}", 4).alias(f"{c}_local_sd") for c in ("area", "eccentricity", "circularity")]
-    return n.select("slide", "cell_id", F.round(part("immune"), DIGITS).alias("immune_frac"), F.round(part("tumor"), DIGITS).alias("tumor_frac"), F.round(F.coalesce(features.mixedness(n), F.lit(0.0)), DIGITS).alias("mixedness"), *sds)
+    m = features.measurements(features.nodes_of(*_graph(spark, d))[1])
+    return m.select("slide", "cell_id", *[F.round(c, DIGITS).alias(c) for c in ("immune_frac", "tumor_frac", "mixedness")], *[F.round(f"{c}_local_sd", 4).alias(f"{c}_local_sd") for c in ("area", "eccentricity", "circularity")])
 
 
 def interaction(spark: SparkSession, d: str) -> DataFrame:
@@ -150,6 +148,16 @@ def mask_geojson(spark: SparkSession, d: str) -> DataFrame:
     return cell_features(unified(read(spark, d, "cell_masks")))
 
 
+def edge_geojson(spark: SparkSession, d: str) -> DataFrame:
+    """Edges between immune and tumour cells as lines."""
+    cells, edges = _graph(spark, d)
+    return edge_features(interaction_edges(cells, edges), cells, slide_resolution(read(spark, d, "cell_masks"), read(spark, d, "slides")))
+
+
+def detection_counts(spark: SparkSession, d: str) -> DataFrame:
+    return geojson.detection_counts(unified(read(spark, d, "cell_masks")).dropDuplicates(["export_id"]))
+
+
 def roi_cells(spark: SparkSession, d: str) -> DataFrame:
     """``roi_id`` and the cells strictly inside it."""
     points = cell_table(spark, d).select("slide", F.col("cell_id").alias("id"), F.lit(2).alias("kind"), "qx", "qy")
@@ -175,22 +183,10 @@ def polygon_shapes(spark: SparkSession, d: str) -> DataFrame:
 
 def solidity(spark: SparkSession, d: str) -> DataFrame:
     """Area of each stored ring as a share of its convex hull's; null for rings without area."""
-    import numpy as np
-    import pandas as pd
-
     docs = unified(read(spark, d, "cell_masks")).select("export_id", F.posexplode("cell_masks").alias("tile_pos", "t"))
-    masks = docs.select("export_id", "tile_pos", F.posexplode("t.masks").alias("mask_pos", "m")).where("size(m.coordinates) >= 3").select("export_id", "tile_pos", "mask_pos", F.flatten("m.coordinates").alias("xy"))
-
-    def work(batches):
-        for pdf in batches:
-            out = []
-            for xy in pdf["xy"]:
-                ring = np.asarray(xy, dtype=float).reshape(-1, 2)
-                whole = area(hull(ring))
-                out.append(min(area(ring) / whole, 1.0) if whole > 0 else None)
-            yield pdf.drop(columns="xy").assign(solidity=pd.Series(out, dtype=float, index=pdf.index).round(6))
-
-    return masks.mapInPandas(work, "export_id bigint, tile_pos int, mask_pos int, solidity double").distinct()
+    masks = docs.select("export_id", "tile_pos", F.posexplode("t.masks").alias("mask_pos", "m")).where("size(m.coordinates) >= 3")
+    share = ring_solidity(F.flatten("m.coordinates"))
+    return masks.select("export_id", "tile_pos", "mask_pos", F.round(F.nanvl(share, F.lit(None)), 6).alias("solidity")).distinct()
 
 
 def _tiling(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -270,6 +266,8 @@ QUERIES: dict[str, Query] = {
     "interaction_edges": interaction,
     "cluster_geojson": cluster_geojson,
     "mask_geojson": mask_geojson,
+    "edge_geojson": edge_geojson,
+    "detection_counts": detection_counts,
     "roi_cells": roi_cells,
     "roi_features": roi_features,
     "feature_vector": feature_vector,

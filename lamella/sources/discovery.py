@@ -14,6 +14,19 @@ def _list(spark: SparkSession, path: str) -> list:
     return sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()) if fs.exists(p) else []
 
 
+def read_head(spark: SparkSession, path: str, size: int = 4096) -> str:
+    """The first bytes of a file as text; empty where there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return ""
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8", "ignore")
+    finally:
+        stream.close()
+
+
 def slide_files(spark: SparkSession, root: str, patterns: list[str]) -> dict[str, str]:
     """Slide folder name to its first file that fits the earliest pattern; folders without one are left out."""
     found = {}
@@ -31,14 +44,15 @@ def _newest(spark: SparkSession, path: str) -> int:
     return max((s.getModificationTime() for s in _list(spark, path)), default=-1)
 
 
-def fresh(spark: SparkSession, cache: str, source: str) -> bool:
-    """Whether a cache is complete and no older than its source."""
-    return any(s.getPath().getName() == "_SUCCESS" for s in _list(spark, cache)) and _newest(spark, cache) >= _newest(spark, source)
+def fresh(spark: SparkSession, cache: str, sources: list[str]) -> bool:
+    """Whether a cache is complete and no older than any of its sources (files or folders of files)."""
+    newest = max((_newest(spark, s) for s in sources), default=-1)
+    return any(s.getPath().getName() == "_SUCCESS" for s in _list(spark, cache)) and _newest(spark, cache) >= newest
 
 
-def cached(spark: SparkSession, cache: str, source: str, build, rebuild: bool = False) -> DataFrame:
+def cached(spark: SparkSession, cache: str, sources: str | list[str], build, rebuild: bool = False) -> DataFrame:
     """The table in ``cache`` if it is fresh, else what ``build`` gives, written there by slide."""
-    if rebuild or not fresh(spark, cache, source):
+    if rebuild or not fresh(spark, cache, [sources] if isinstance(sources, str) else sources):
         build().write.mode("overwrite").partitionBy("slide").parquet(cache)
     return spark.read.parquet(cache).withColumn("slide", F.col("slide").cast("string"))
 

@@ -74,9 +74,63 @@ def test_cache(spark, tmp_path):
     assert len(calls) == 2
 
 
+RICH = ["Lymphocytes", "Cancer cell", "Fibroblasts", "Epithelial", "Endothelial Cell", "Apoptotic Body"]
+
+
+def _rich(root):
+    """Bands of cells of every role, dense enough for clusters of three roles that overlap."""
+    masks = []
+    for k in range(420):
+        x, y, w = (k % 28) * 60 + k * 13 % 23, (k // 28) * 60 + k * 29 % 31, 10 + k % 7
+        masks.append({"coordinates": [[x, y], [x + w, y], [x + w + k % 5, y + 8 + k % 3], [x + 4, y + 5], [x, y + 9]], "cell_type": RICH[(k * 7 // 3) % 3 if k % 11 else k % 6], "confidence": 0.9})
+    _slide(root, "S1", masks)
+
+
 def test_cli(spark, tmp_path):
-    masks = [{"coordinates": [[x + 20 * i, y + 31 * (i % 3)] for x, y in SQUARE], "cell_type": "Lymphocytes"} for i in range(8)]
-    _slide(tmp_path / "in", "S1", masks)
+    _rich(tmp_path / "in")
     main([str(tmp_path / "in"), "-o", str(tmp_path / "f")])
     row = spark.read.parquet(str(tmp_path / "f.parquet")).first()
-    assert len(row) == 145 and row.slide == "S1" and row.slide__n_cells == 8 and row.spatil__immune__n_clusters == 1
+    assert len(row) == 145 and row.slide == "S1" and row.slide__n_cells == 420
+    # nothing of a rich slide is missing
+    assert [c for c, v in row.asDict().items() if v is None] == []
+    assert 0 < row.morph__solidity__mean < 1 and row.diversity__solidity_local_sd__mean > 0
+    main(["features", str(tmp_path / "in"), "-o", str(tmp_path / "f"), "--min-cluster", "100000", "--near-um", "0.1", "--max-edge-um", "40"])
+    other = spark.read.parquet(str(tmp_path / "f.parquet")).first()
+    assert other.spatil__immune__n_clusters == 0 and row.spatil__immune__n_clusters > 0 and other.spatil__immune_near_tumor__frac == 0 < row.spatil__immune_near_tumor__frac
+
+
+def test_export(spark, tmp_path):
+    _rich(tmp_path / "in")
+    main(["export", str(tmp_path / "in"), "-o", str(tmp_path / "x"), "--clusters", "--interactions", "--measurements"])
+    found = {}
+    for kind in ("clusters", "edges", "cells"):
+        (file,) = [p for p in (tmp_path / "x" / kind / "slide=S1").iterdir() if p.name.startswith("part")]
+        found[kind] = json.loads(file.read_text())["features"]
+    assert len(found["cells"]) == 420 and len(found["cells"][0]["properties"]["measurements"]) == 11
+    one = found["cells"][0]
+    assert one["geometry"]["coordinates"][0][0] == one["geometry"]["coordinates"][0][-1] and one["properties"]["measurements"]["solidity"] > 0
+    assert {f["properties"]["classification"]["name"] for f in found["clusters"]} <= {"immune_cluster", "tumor_cluster", "stroma_cluster"}
+    assert found["edges"] and found["edges"][0]["properties"]["classification"] == {"name": "immune_tumor_edge", "color": [155, 93, 229]}
+
+
+def test_diversity(spark, tmp_path):
+    masks = [{"cell_type": t, "centroid": [x, 5.0]} for t, x in (("a", 1.0), ("b", 2.0), ("a", 300.0), ("a", 9000.0))]
+    _slide(tmp_path / "in", "S1", masks)
+    _slide(tmp_path / "in", "S2", masks)
+    spark.createDataFrame([("S1", 0, 0, 256), ("S1", 256, 0, 256), ("S3", 0, 0, 256)], "slide string, patch_x_level0 bigint, patch_y_level0 bigint, patch_px bigint").write.parquet(str(tmp_path / "p"))
+    main(["diversity", str(tmp_path / "in"), "-o", str(tmp_path / "d"), "--patches", str(tmp_path / "p")])
+    read = lambda n: spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / "d" / n))
+    (row,) = read("slide_diversity.csv").collect()
+    assert (row.slide, row.n_cells, row.n_outside, row.n_a, row.n_b) == ("S1", 4, 1, 3, 1)
+    assert {r.slide for r in read("unpaired.csv").collect()} == {"S2", "S3"}
+    assert sorted((r.patch_x_level0, r.n_cells, r.n_a) for r in read("patch_diversity").collect()) == [(0, 2, 1), (256, 1, 1)]
+
+
+def test_resolution_of_a_sibling(spark, tmp_path):
+    _slide(tmp_path, "S1", [], mpp=0.5)
+    doc = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [SQUARE]}, "properties": {}}]}
+    (tmp_path / "S1" / "c.geojson").write_text(json.dumps(doc))
+    assert load_cells(spark, str(tmp_path / "S1" / "c.geojson")).first().area == 16.0
+    (tmp_path / "S1" / "cell_masks.json").unlink()
+    with pytest.raises(Exception, match="no resolution"):
+        load_cells(spark, str(tmp_path / "S1" / "c.geojson")).collect()

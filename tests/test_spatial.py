@@ -152,6 +152,17 @@ def test_overlap_of_hulls_wider_than_a_cell(spark):
     assert cluster_overlap(hull.limit(0)).count() == 0
 
 
+def test_solidity():
+    rng = np.random.default_rng(6)
+    rings = [np.array([0, 0, 4, 0, 4, 4, 0, 4]), np.array([0, 0, 4, 0, 4, 4, 2, 1]), np.array([0, 0, 1, 1, 2, 2]), None, np.array([0, 0, 4, 0, 4, 4, 0, 4, 0, 0])]
+    rings += [rng.integers(0, 9, 2 * int(rng.integers(3, 12))) for _ in range(300)]
+    got = hulls.solidity(rings)
+    for r, s in zip(rings, got):
+        ring = np.empty((0, 2)) if r is None else r.reshape(-1, 2).astype(float)
+        whole = hulls.area(hulls.hull(ring)) if len(ring) else 0.0
+        assert (np.isnan(s) and whole == 0) or s == min(hulls.area(ring) / whole, 1.0)
+
+
 def test_hulls():
     square = np.array([[0, 0], [4, 0], [4, 4], [0, 4], [2, 2], [2, 0]])
     h = hulls.hull(square)
