@@ -32,6 +32,15 @@ def p4_combined(spark: SparkSession, d: str) -> DataFrame:
     return _named(percentiles.combine(points, ["role", "measure"]), 0.005)
 
 
+def p4_combined_error(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each percentile from united summaries has a rank within the stated error, counted over all values."""
+    got = p4_combined(spark, d).select("role", "measure", F.inline(F.array(*[F.struct(F.lit(p).alias("percent"), F.col(c).alias("at")) for p, c in ((10, "p10"), (50, "median"), (90, "p90"))])))
+    # values were rounded to nine decimals
+    n = _measures(spark, d).join(got, ["role", "measure"]).groupBy("role", "measure", "percent").agg(F.count("*").alias("n"), F.count(F.when(F.col("value") < F.col("at") - 1e-9, 1)).alias("below"), F.count(F.when(F.col("value") <= F.col("at") + 1e-9, 1)).alias("upto"))
+    rank, slack = F.col("percent") / 100 * (F.col("n") - 1), 0.005 * F.col("n") + 1
+    return n.select("role", "measure", "percent", ((F.col("below") - slack <= rank) & (rank <= F.col("upto") + slack)).alias("within"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return components.cell_groups(read(spark, d, "cells"), read(spark, d, "cell_edges"), read(spark, d, "cell_adj"))
 
@@ -73,6 +82,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "p4_percentiles": p4_percentiles,
     "p4_combined": p4_combined,
+    "p4_combined_error": p4_combined_error,
     "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_kinds": p7_kinds,
@@ -94,6 +104,11 @@ v AS (SELECT DISTINCT cell_id, role, 'area' AS measure, area AS v FROM c WHERE i
   UNION ALL SELECT DISTINCT cell_id, role, 'eccentricity', eccentricity FROM c WHERE isfinite(eccentricity))
 SELECT role, measure, count(*) AS n, round(quantile_cont(v, 0.1), 9) AS p10, round(quantile_cont(v, 0.5), 9) AS median, round(quantile_cont(v, 0.9), 9) AS p90, 0.0::DOUBLE AS rank_error
 FROM v GROUP BY 1, 2""",
+    "p4_combined_error": f"""
+WITH r AS (SELECT {_LABEL.format("cell_type")} AS t, min({_LABEL.format("role")}) AS r FROM roles GROUP BY 1),
+c AS (SELECT DISTINCT coalesce({_LABEL.format("c.role")}, r.r, 'other') AS role, isfinite(area) AS a, isfinite(eccentricity) AS e FROM cells c LEFT JOIN r ON {_LABEL.format("c.cell_type")} = r.t),
+g AS (SELECT role, 'area' AS measure FROM c WHERE a UNION SELECT role, 'eccentricity' FROM c WHERE e)
+SELECT role, measure, percent, true AS within FROM g, (SELECT unnest([10, 50, 90]) AS percent)""",
     "p6_found": """
 WITH RECURSIVE k AS (SELECT DISTINCT cell_id FROM cells),
 p AS (SELECT i AS a, j AS b FROM cell_edges WHERE edge_len <= 50 UNION SELECT cell_id, unnest(neighbours) FROM cell_adj),
