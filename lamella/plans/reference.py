@@ -14,6 +14,7 @@ from lamella.operators.delaunay import delaunay_edges
 from lamella.operators.near import near_and_inside, rings_on_grid
 from lamella.operators.units import patch_units, slide_resolution
 from lamella.plans import sql
+from lamella.plans.shape_sql import SHAPES
 from lamella.session import Table, read
 from lamella.sources.cells import ring_solidity
 from lamella.sources import geojson
@@ -177,8 +178,8 @@ def polygon_shapes(spark: SparkSession, d: str) -> DataFrame:
     docs = unified(read(spark, d, "cell_masks")).select("export_id", F.posexplode("cell_masks").alias("tile_pos", "t"))
     masks = docs.select("export_id", "tile_pos", F.posexplode("t.masks").alias("mask_pos", "m")).where("m.coordinates is not null and size(m.coordinates) >= 3")
     s = masks.select("export_id", "tile_pos", "mask_pos", shape(F.col("m.coordinates")).alias("s")).where("s is not null")
-    names = ["area", "perimeter", "centroid_x", "centroid_y", "equiv_diameter", "major_axis", "minor_axis", "eccentricity", "circularity", "extent"]
-    return s.select("export_id", "tile_pos", "mask_pos", *[F.round(f"s.{n}", 3).alias(n) for n in names]).distinct()
+    names = ["area", "perimeter", "centroid_x", "centroid_y", "equiv_diameter", "major_axis", "minor_axis", "eccentricity", "orientation", "circularity", "extent"]
+    return s.select("export_id", "tile_pos", "mask_pos", *[F.round(f"s.{n}", 8 if n.startswith("centroid") else DIGITS).alias(n) for n in names]).distinct()
 
 
 def solidity(spark: SparkSession, d: str) -> DataFrame:
@@ -272,4 +273,4 @@ QUERIES: dict[str, Query] = {
     "roi_features": roi_features,
     "feature_vector": feature_vector,
 }
-SQL = sql.REFERENCE
+SQL = sql.REFERENCE | SHAPES
