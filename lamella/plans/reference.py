@@ -23,6 +23,8 @@ from lamella.sources.masks import unified
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 5
+#: Means of points often stand halfway between two last digits; this lifts them to the upper one, as their SQL does.
+TIE = 1e-9
 
 
 def graph_edges(cells: DataFrame) -> DataFrame:
@@ -179,7 +181,7 @@ def polygon_shapes(spark: SparkSession, d: str) -> DataFrame:
     masks = docs.select("export_id", "tile_pos", F.posexplode("t.masks").alias("mask_pos", "m")).where("m.coordinates is not null and size(m.coordinates) >= 3")
     s = masks.select("export_id", "tile_pos", "mask_pos", shape(F.col("m.coordinates")).alias("s")).where("s is not null")
     names = ["area", "perimeter", "centroid_x", "centroid_y", "equiv_diameter", "major_axis", "minor_axis", "eccentricity", "orientation", "circularity", "extent"]
-    return s.select("export_id", "tile_pos", "mask_pos", *[F.round(f"s.{n}", 8 if n.startswith("centroid") else DIGITS).alias(n) for n in names]).distinct()
+    return s.select("export_id", "tile_pos", "mask_pos", *[F.round(F.col(f"s.{n}") + (TIE if n.startswith("centroid") else 0.0), DIGITS).alias(n) for n in names]).distinct()
 
 
 def solidity(spark: SparkSession, d: str) -> DataFrame:

@@ -35,7 +35,7 @@ t AS (
 m AS (SELECT *, mx / nullif(3 * c, 0) AS cx, my / nullif(3 * c, 0) AS cy FROM t),
 q AS (SELECT *, xx / nullif(6 * c, 0) - cx * cx AS vxx, yy / nullif(6 * c, 0) - cy * cy AS vyy, xy / nullif(12 * c, 0) - cx * cy AS vxy FROM m),
 l AS (SELECT *, greatest((vxx + vyy) / 2 + sqrt(((vxx - vyy) / 2) ** 2 + vxy * vxy), 0) AS l1, greatest((vxx + vyy) / 2 - sqrt(((vxx - vyy) / 2) ** 2 + vxy * vxy), 0) AS l2 FROM q)
-SELECT {_KEYS}, {_good("abs(c) / 2")} AS area, {_good("p")} AS perimeter, round(x0 + CASE WHEN {_GOOD} THEN cx ELSE ax END, 8) AS centroid_x, round(y0 + CASE WHEN {_GOOD} THEN cy ELSE ay END, 8) AS centroid_y,
+SELECT {_KEYS}, {_good("abs(c) / 2")} AS area, {_good("p")} AS perimeter, round(x0 + CASE WHEN {_GOOD} THEN cx ELSE ax END + 1e-9, 5) AS centroid_x, round(y0 + CASE WHEN {_GOOD} THEN cy ELSE ay END + 1e-9, 5) AS centroid_y,
   {_good("2 * sqrt(abs(c) / 2 / pi())")} AS equiv_diameter, {_good("4 * sqrt(l1)")} AS major_axis, {_good("4 * sqrt(l2)")} AS minor_axis, {_good("sqrt(least(greatest(1 - l2 / nullif(l1, 0), 0), 1))")} AS eccentricity,
   {_good("0.5 * atan2(2 * vxy, vxx - vyy)")} AS orientation, {_good("least(4 * pi() * abs(c) / 2 / greatest(p * p, 1e-9), 1)")} AS circularity, {_good("least(abs(c) / 2 / greatest(box, 1e-9), 1)")} AS extent
 FROM l""",
