@@ -59,6 +59,8 @@ def _diversity(spark: SparkSession, a: argparse.Namespace) -> None:
     files = slide_files(spark, a.root, a.pattern or PATTERNS[:1])
     docs = read_json_documents(spark, list(files.values())).withColumn("slide", F.element_at(F.split("path", "/"), -2)).withColumn("export_id", F.xxhash64("path"))
     grid = spark.read.parquet(a.patches)
+    if patches.off_grid(grid).limit(1).count():
+        raise SystemExit("patch corners that are no multiple of their side")
     found = Table(docs.select("slide", F.col("inference_mpp").alias("mpp")).distinct()).df
     pairs = grid.select("slide").distinct().withColumn("patches", F.lit(True)).join(found.withColumn("cells", F.lit(True)), "slide", "full")
     pairs.select("slide", F.coalesce("patches", F.lit(False)).alias("patches"), F.coalesce("cells", F.lit(False)).alias("cells")).where("not (patches and cells)").write.mode("overwrite").option("header", True).csv(f"{a.out}/unpaired.csv")
