@@ -78,13 +78,16 @@ def key_statistics(df: DataFrame, keys: list[str], value: str, chunk_rows: int =
     )
 
 
-def ordered_runs(df: DataFrame, keys: list[str], value: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Per key, ``n`` rows and ``n_runs``: runs of equal ``value`` in the order in which the rows stand.
+def ordered_runs(df: DataFrame, keys: list[str], value: str, chunk_rows: int = CHUNK_ROWS, order: list[str] | None = None) -> DataFrame:
+    """Per key, ``n`` rows and ``n_runs``: runs of equal ``value`` by ``order``, else in the order in which the rows stand.
 
-    Chunks count their inner changes; a boundary state (first and last value) of neighbouring chunks settles whether a
-    run goes on across them.
+    ``order`` sorts all rows by range, not by key, so a hot key lies in many partitions; nulls come first and rows that
+    tie are in order of ``value``. Chunks count their inner changes; a boundary state (first and last value) of
+    neighbouring chunks settles whether a run goes on across them. A null value is a value like any other.
     """
     inner = Window.partitionBy(*keys, "chunk").orderBy("pos")
+    if order is not None:
+        df = df.select(*dict.fromkeys([*keys, value, *order])).orderBy(*[F.asc_nulls_first(c) for c in [*order, value]])
     rows = number_rows(df.select(*keys, value), keys).withColumn("chunk", F.floor(F.col("pos") / chunk_rows))
     rows = rows.withColumn("change", (F.row_number().over(inner) > 1) & ~F.col(value).eqNullSafe(F.lag(value).over(inner)))
     state = rows.groupBy(*keys, "chunk").agg(F.count("*").alias("n"), F.sum(F.col("change").cast("int")).alias("changes"), F.min_by(F.struct(value), "pos").alias("first"), F.max_by(F.struct(value), "pos").alias("last"))

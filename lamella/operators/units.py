@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from lamella.functions import unit_text
+from lamella.operators.flatten import flatten
 from lamella.session import cut
 
 #: Nominal um per px of a lens of magnification 1; only tells units apart, no value is taken from it while data tell.
@@ -213,6 +214,26 @@ def _ring_centre(p: Column) -> Column:
     return F.aggregate(edges, F.struct(*[F.lit(0.0).alias(k) for k in ("c", "mx", "my", "sx", "sy")]), add, centre)
 
 
+def rings_in_px(documents: DataFrame, slides: DataFrame, mpp: DataFrame) -> DataFrame:
+    """Every ring point in level-0 px from its tile's corner: ``export_id, tile_pos, mask_pos, point_pos, px, py``.
+
+    ``documents`` is unified; exact repeats of a document count once, which is settled before its points are spread out.
+    Positions are those of the arrays as stored. A point that lacks a coordinate keeps a null there; a share of a tile
+    whose size isn't known gives null. Exports without any whole point give no rows.
+    """
+    # one unit an export; its table is written, so that the join's planner knows that it is small
+    units = cut(ring_units(documents, slides, mpp).groupBy("export_id", "slide").agg(F.min(F.struct("kind", "factor")).alias("unit")).join(mpp, "slide", "left").select(F.col("export_id").alias("__e"), F.col("slide").alias("__s"), "unit", "mpp"))
+    d = documents.select("export_id", "slide", "cell_masks").distinct().join(units, F.expr("export_id <=> __e and slide <=> __s"))
+    tiles = d.select("export_id", "unit", "mpp", F.posexplode("cell_masks").alias("tile", "t")).where("t is not null")
+    points = flatten(tiles.withColumns({"width": F.col("t.width"), "height": F.col("t.height"), "cell_masks": F.array("t")}), "points", ("export_id", "tile", "unit", "mpp", "width", "height"))
+    factor, kind = F.col("unit.factor"), F.col("unit.kind")
+
+    def px(at: str, side: str) -> Column:
+        return F.when(kind == "um", F.try_divide(F.col(at) * factor, F.col("mpp"))).when(kind == "tile", F.col(at) * factor * F.col(side)).otherwise(F.col(at) * factor)
+
+    return points.select("export_id", F.col("tile").alias("tile_pos"), "mask_pos", "point_pos", px("px", "width").alias("px"), px("py", "height").alias("py"))
+
+
 def patch_units(slides: DataFrame, patches: DataFrame, mpp: DataFrame) -> DataFrame:
     """The unit of ``patch_size_level0``: ``slide_id, slide, patch_unit, patch_px``.
 

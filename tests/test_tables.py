@@ -75,6 +75,15 @@ def test_hot_keys(spark):
     assert skew.key_statistics(df.limit(0), ["key"], "value").count() == 0
 
 
+def test_runs_in_an_order(spark):
+    rows = [("a", "s", 3), ("a", "t", 1), ("a", "s", 2), ("a", None, None), ("a", "s", 5), ("a", "t", 4), (None, "s", 1), ("a", "s", 4), ("a", "s", 4)]
+    df = spark.createDataFrame(rows, "key string, value string, at int").repartition(3)
+    # a by at, ties by value: null, t, s, s, s, s, t, s
+    for size in (1, 2, 3, 100):
+        assert {tuple(r) for r in skew.ordered_runs(df, ["key"], "value", size, ["at"]).collect()} == {("a", 8, 5), (None, 1, 1)}
+    assert skew.ordered_runs(df.limit(0), ["key"], "value", 2, ["at"]).count() == 0
+
+
 def test_statistics(spark):
     rng = np.random.default_rng(0)
     v = np.concatenate([rng.normal(size=6000), np.full(4000, 0.25)])

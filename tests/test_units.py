@@ -105,3 +105,26 @@ def test_cells_on_grid(spark):
 def test_empty(spark):
     cells, deliveries, docs, slides, patches = (t.limit(0) for t in _tables(spark))
     assert units.units_found(cells, deliveries, docs, slides, patches).count() == 0
+
+
+def test_ring_points_in_px(spark):
+    _, _, docs, slides, _ = _tables(spark)
+    mpp = units.slide_resolution(docs, slides)
+    twice = docs.unionByName(docs).withColumns({c: F.lit("clash") for c in ("kind", "unit", "tile", "px", "mpp")})
+    rows = units.rings_in_px(twice, slides, mpp).collect()
+    # whatever the unit, the same square comes out, once for each of the four documents with points
+    for e in (1, 2, 4):
+        got = [(r.tile_pos, r.mask_pos, r.point_pos, round(r.px, 6), round(r.py, 6)) for r in rows if r.export_id == e]
+        assert sorted(got) == [(0, 0, 0, 10.0, 10.0), (0, 0, 1, 30.0, 10.0), (0, 0, 2, 30.0, 30.0), (0, 0, 3, 10.0, 30.0)]
+    assert sorted((round(r.px, 6), round(r.py, 6)) for r in rows if r.export_id == 3) == [(10.0, 10.0), (10.0, 30.0), (30.0, 10.0), (30.0, 30.0)]
+    assert {r.export_id for r in rows} == {1, 2, 3, 4}
+    assert units.rings_in_px(docs.limit(0), slides, mpp).count() == 0
+
+
+def test_ring_points_with_holes(spark):
+    slides = spark.createDataFrame([(1, "A", None, None, 100, 100, 40, 20)], SLIDES)
+    tile = (0, 0, None, 50, [("t", 0.5, None, [[0.5, 0.5], None, [None, 0.5], []]), ("t", None, None, None), ("t", None, None, [])])
+    docs = unified(spark.createDataFrame([(1, "A", 0.25, "um/px", "fraction of tile", None, [None, tile], None), (2, None, None, None, "um", None, [(0, 0, 9, 9, [("t", 1.0, None, [[1.0, 2.0]])])], None)], EXPORTS))
+    rows = {tuple(r) for r in units.rings_in_px(docs, slides, units.slide_resolution(docs, slides)).collect()}
+    # a width that isn't known and a slide without resolution give null, positions are those of the arrays as stored
+    assert rows == {(1, 1, 0, 0, None, 25.0), (1, 1, 0, 2, None, 25.0), (1, 1, 0, 3, None, None), (2, 0, 0, 0, None, None)}
