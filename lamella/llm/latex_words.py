@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
-_GROUP = r"\{((?:[^{}]|\{(?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*\})*)\}"
-DEFINITION = re.compile(r"\\(?:(?:re)?newcommand|providecommand|DeclareRobustCommand|DeclareMathOperator)\*?\s*(?:\{\s*\\([A-Za-z@]+)\s*\}|\\([A-Za-z@]+))\s*(?:\[(\d)\])?(?:\[[^\]]*\])?\s*" + _GROUP + r"|\\[gex]?def\s*\\([A-Za-z@]+)\s*((?:#\d)*)\s*" + _GROUP)
+DEFINITION = re.compile(r"\\(?:(?:re)?newcommand|providecommand|DeclareRobustCommand|DeclareMathOperator)\*?\s*(?:\{\s*\\([A-Za-z@]+)\s*\}|\\([A-Za-z@]+))\s*(?:\[(\d)\])?(?:\[[^\]]*\])?\s*(?=\{)|\\[gex]?def\s*\\([A-Za-z@]+)\s*((?:#\d)*)\s*(?=\{)")
+BRACE = re.compile(r"\\.|[{}]", re.S)
+OPENING = re.compile(r"\s*\{")
 # Commands whose arguments name something and are no words.
 KEYED = re.compile(r"\\(?:[A-Za-z]*cite[A-Za-z]*|(?:page|eq|auto|name|sub|full|[vVcCfFsS])?ref|[cC]refrange|label|bibitem)(?![A-Za-z])\*?(?:\s*\[[^\]]*\])*(?:\s*\{[^{}]*\})*")
 # Commands that only set a font, so a word may go on across their braces.
@@ -22,15 +24,48 @@ WORD = re.compile(r"[^\W_]+")
 PIECE_OF_WORD = re.compile(r"(?<![\\A-Za-z\}\]])\{([^\W_]{1,3})\}(?=[^\W_])")
 
 
+def braces(text: str) -> dict[int, int]:
+    """The place of each opening brace and that of the one that closes it, however deep; an open end has none."""
+    pairs, waiting = {}, []
+    for m in BRACE.finditer(text):
+        if m[0] == "{":
+            waiting.append(m.start())
+        elif m[0] == "}" and waiting:
+            pairs[waiting.pop()] = m.start()
+    return pairs
+
+
+def closer(text: str) -> Callable[[int], int | None]:
+    """Gives the place of the brace that closes the one at a place; the whole text is paired up once one stays open."""
+    pairs: dict[int, int] | None = None
+
+    def close(at: int) -> int | None:
+        nonlocal pairs
+        if pairs is None:
+            deep = 0
+            for m in BRACE.finditer(text, at):
+                deep += {"{": 1, "}": -1}.get(m[0], 0)
+                if not deep:
+                    return m.start()
+            pairs = braces(text)
+        return pairs.get(at)
+
+    return close
+
+
 def macros(text: str) -> dict[str, tuple[int, str]]:
     """Author macros: name to number of arguments and replacement; a later definition replaces an earlier one."""
     found: dict[str, tuple[int, str]] = {}
     if "\\newcommand" in text or "def" in text or "\\renewcommand" in text or "\\DeclareM" in text or "\\providecommand" in text or "\\DeclareR" in text:
-        for a, b, n, body, c, marks, other in DEFINITION.findall(text):
-            if c:
-                found[c] = (marks.count("#"), other)
-            else:
-                found[a or b] = (int(n or 0), body)
+        close, at = closer(text), 0
+        for m in DEFINITION.finditer(text):
+            # a definition within another one's replacement isn't made yet
+            if m.start() < at:
+                continue
+            end = close(m.end())
+            if end is not None:
+                found[m[1] or m[2] or m[4]] = (m[5].count("#") if m[4] else int(m[3] or 0), text[m.end() + 1 : end])
+                at = end
     return found
 
 
@@ -38,41 +73,57 @@ def macros(text: str) -> dict[str, tuple[int, str]]:
 MOST_EXPANDED = 50_000_000
 
 
+#: Calls within arguments of calls that are put in; what lies deeper stays as it is.
+MOST_NESTED = 100
+
+
 def expand(text: str, defined: dict[str, tuple[int, str]]) -> str:
     """``text`` with author macros replaced, also inside each other and in their arguments.
 
     Every replacement is worked out once, those that it uses first; a macro that uses itself stays as it is. Then one
     pass over the text puts them in.
     """
-    names = "|".join(sorted(map(re.escape, defined), key=len, reverse=True))
+    call = re.compile(r"\\(" + "|".join(sorted(map(re.escape, defined), key=len, reverse=True)) + r")(?![A-Za-z@])")
     most = max(n for n, _ in defined.values())
-    group = r"\{(?:[^{}]|\{[^{}]*\})*\}"
-    pattern = re.compile(r"\\(" + names + r")(?![A-Za-z@])" + (r"((?:\s*" + group + r"){0,%d})" % most if most else "()") + r"(?:\{\})?")
-    arguments = re.compile(group)
     whole: dict[str, str | None] = {}
     room = MOST_EXPANDED
 
-    def body(name: str) -> str | None:
+    def body(name: str, deep: int) -> str | None:
         if name not in whole:
             # while its own replacement is worked out, a name has none
             whole[name] = None
-            whole[name] = pattern.sub(put, defined[name][1])
+            whole[name] = put_in(defined[name][1], deep)
         return whole[name]
 
-    def put(m: re.Match) -> str:
+    def put_in(part: str, deep: int) -> str:
         nonlocal room
-        out = body(m[1])
-        if out is None or len(out) > room:
-            return m[0]
-        n = defined[m[1]][0]
-        given = [pattern.sub(put, g[1:-1]) for g in arguments.findall(m[2])]
-        for i in range(n):
-            out = out.replace(f"#{i + 1}", given[i] if i < len(given) else " ")
-        out += "".join(" " + g + " " for g in given[n:])
-        room -= len(out)
-        return out
-
-    return pattern.sub(put, text)
+        if deep > MOST_NESTED:
+            return part
+        out, at, close = [], 0, closer(part)
+        for m in call.finditer(part):
+            if m.start() < at:
+                continue
+            new = body(m[1], deep + 1)
+            if new is None or len(new) > room:
+                continue
+            end, given = m.end(), []
+            while len(given) < most and (g := OPENING.match(part, end)):
+                if (last := close(g.end() - 1)) is None:
+                    break
+                given.append(put_in(part[g.end() : last], deep + 1))
+                end = last + 1
+            if part.startswith("{}", end):
+                end += 2
+            n = defined[m[1]][0]
+            for i in range(n):
+                new = new.replace(f"#{i + 1}", given[i] if i < len(given) else " ")
+            new += "".join(" " + g + " " for g in given[n:])
+            room -= len(new)
+            out += [part[at : m.start()], new]
+            at = end
+        return "".join(out) + part[at:]
+
+    return put_in(text, 0)
 
 
 def _accent(m: re.Match) -> str:

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamella.llm.latex_words import closer
 from lamella.session import cut
 
 # Common function words by language.
@@ -39,10 +40,9 @@ FUNCTION_WORDS = {
 LANGUAGE = {w: {lang for lang, ws in FUNCTION_WORDS.items() if w in ws.split()} for ws in FUNCTION_WORDS.values() for w in ws.split()}
 
 WORD = re.compile(r"[^\W_]+")
-_GROUP = r"\{[^{}]*(?:\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}[^{}]*)*\}"
 COMMENT = re.compile(r"(?<!\\)%[^\n]*")
 COMMENT_BLOCK = re.compile(r"\\begin\{comment\}.*?(?:\\end\{comment\}|\Z)", re.S)
-FRONT = re.compile(r"\\(?:title|author|date|thanks|affiliation|address|email)\s*(?:\[[^\]]*\])?\s*" + _GROUP + r"|\\maketitle")
+FRONT = re.compile(r"\\(?:title|author|date|thanks|affiliation|address|email)\s*(?:\[[^\]]*\])?\s*(?=\{)|\\maketitle")
 END = "\\end{document}"
 #: A bibliography's own span: the environment, the rest of one that a fragment begins in, or the one command.
 REFERENCES = re.compile(r"\\begin\{thebibliography\}.*?(?:\\end\{thebibliography\}|\Z)|\\bibliography(?:style)?\s*\{[^{}]*\}|\\printbibliography(?:\s*\[[^\]]*\])?", re.S)
@@ -69,6 +69,17 @@ LEAST_SPREAD = (0.03, 0.02, 0.02, 0.03, 0.04, 0.05, 0.04, 0.08)
 PRIOR_ROWS = 50.0
 
 
+def _without_front(text: str) -> str:
+    """``text`` without title, author and the like, whose arguments may nest to any depth."""
+    out, at, close = [], 0, closer(text)
+    for m in FRONT.finditer(text):
+        last = m.end() - 1 if m[0].startswith("\\maketitle") else close(m.end())
+        if m.start() >= at and last is not None:
+            out += [text[at : m.start()], " "]
+            at = last + 1
+    return "".join(out) + text[at:]
+
+
 def body(text: str | None) -> str | None:
     """A document without preamble, title, author, bibliography and comments; None if it ends before its body."""
     if not text or not text.strip():
@@ -88,7 +99,7 @@ def body(text: str | None) -> str | None:
         text = REFERENCES.sub("\n\n", text)
         if "\\bibitem" in text:
             text = ENTRY.sub("\n\n", REST.sub("\n\n", text))
-    text = FRONT.sub(" ", text)
+    text = _without_front(text)
     return SETTING.sub(" ", text) if begin < 0 else text
 
 

@@ -314,6 +314,20 @@ def test_macros():
     assert words(r"\def\x{\y \y}\def\y{\z \z}\def\z{v} \x")[-4:] == ["v"] * 4
 
 
+def test_macros_nest_to_any_depth():
+    deep = r"\newcommand{\dd}[1]{a {b {c {d {e {f #1 } g}}}}} start \dd{one {two {three {four {five \dd{six}}}}}} \left\{ stop"
+    got = words(deep)
+    assert got[got.index("start") :] == ["start", *"abcdef", "one", "two", "three", "four", "five", *"abcdef", "six", "g", "g", "stop"]
+    # a body that never closes defines nothing, later ones are still read
+    assert words(r"\newcommand{\u}{open \newcommand{\v}{shut} \v \u")[-1:] == ["shut"]
+    # calls in calls beyond any article's depth stay, and nothing is lost
+    assert words(r"\newcommand{\q}[1]{k #1}" + r"\q{" * 3000 + "z" + "}" * 3000)[-1] == "z"
+
+
+def test_front_matter_nests_to_any_depth():
+    assert spam.body(r"\begin{document}\title{a {b {c {d {e {f}}}}}}\author[x]{n}\maketitle Text.\date{open").split() == ["Text.\\date{open"]
+
+
 def test_leaks_against_brute_force(spark):
     items = {1: _item(40, 1), 2: _item(30, 2), 3: _item(5, 3), 4: _item(12, 4) + _item(40, 1)[:12]}
     docs = {
