@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 DEFINITION = re.compile(r"\\(?:(?:re)?newcommand|providecommand|DeclareRobustCommand|DeclareMathOperator)\*?\s*(?:\{\s*\\([A-Za-z@]+)\s*\}|\\([A-Za-z@]+))\s*(?:\[(\d)\])?(?:\[[^\]]*\])?\s*(?=\{)|\\[gex]?def\s*\\([A-Za-z@]+)\s*((?:#\d)*)\s*(?=\{)")
 BRACE = re.compile(r"\\.|[{}]", re.S)
+CALL = re.compile(r"\\([A-Za-z@]+)")
 OPENING = re.compile(r"\s*\{")
 # Commands whose arguments name something and are no words.
 KEYED = re.compile(r"\\(?:[A-Za-z]*cite[A-Za-z]*|(?:page|eq|auto|name|sub|full|[vVcCfFsS])?ref|[cC]refrange|label|bibitem)(?![A-Za-z])\*?(?:\s*\[[^\]]*\])*(?:\s*\{[^{}]*\})*")
@@ -19,9 +20,9 @@ COMBINING = {"'": "\u0301", '"': "\u0308", "`": "\u0300", "^": "\u0302", "~": "\
 INVISIBLE = re.compile("[\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\U000e0000-\U000e0fff]")
 SOFT = re.compile("\u00ad(?:[ \t]*\r?\n[ \t]*%?[ \t]*)?")
 #: A hyphen within a word, at a line's end too (the next line may be commented).
-HYPHEN = re.compile("(?<=[^\\W_])(?:\\\\-|[-\u2010\u2011\ufe63\uff0d])(?:[ \t]*\r?\n[ \t]*(?:%+[ \t]*)?)?(?=[^\\W_])")
-WORD = re.compile(r"[^\W_]+")
-PIECE_OF_WORD = re.compile(r"(?<![\\A-Za-z\}\]])\{([^\W_]{1,3})\}(?=[^\W_])")
+HYPHEN = re.compile("(?:-(?<=[^\\W_]-)|\\\\-(?<=[^\\W_]\\\\-)|" + "|".join(f"{h}(?<=[^\\W_]{h})" for h in "\u2010\u2011\ufe63\uff0d") + ")(?:[ \t]*\r?\n[ \t]*(?:%+[ \t]*)?)?(?=[^\\W_])")
+WORD, ASCII_WORD = re.compile(r"[^\W_]+"), re.compile(r"[a-z0-9]+")
+PIECE_OF_WORD = re.compile(r"\{(?<![\\A-Za-z\}\]]\{)([^\W_]{1,3})\}(?=[^\W_])")
 
 
 def braces(text: str) -> dict[int, int]:
@@ -83,7 +84,6 @@ def expand(text: str, defined: dict[str, tuple[int, str]]) -> str:
     Every replacement is worked out once, those that it uses first; a macro that uses itself stays as it is. Then one
     pass over the text puts them in.
     """
-    call = re.compile(r"\\(" + "|".join(sorted(map(re.escape, defined), key=len, reverse=True)) + r")(?![A-Za-z@])")
     most = max(n for n, _ in defined.values())
     whole: dict[str, str | None] = {}
     room = MOST_EXPANDED
@@ -100,8 +100,8 @@ def expand(text: str, defined: dict[str, tuple[int, str]]) -> str:
         if deep > MOST_NESTED:
             return part
         out, at, close = [], 0, closer(part)
-        for m in call.finditer(part):
-            if m.start() < at:
+        for m in CALL.finditer(part):
+            if m.start() < at or m[1] not in defined:
                 continue
             new = body(m[1], deep + 1)
             if new is None or len(new) > room:
@@ -152,4 +152,7 @@ def plain(text: str) -> str:
 
 def words(text: str | None) -> list[str]:
     """Runs of letters and digits of :func:`plain`."""
-    return WORD.findall(plain(text)) if text else []
+    if not text:
+        return []
+    found = plain(text)
+    return (ASCII_WORD if found.isascii() else WORD).findall(found)
