@@ -12,7 +12,7 @@ from lamella.operators.flatten import flatten, masks_found
 from lamella.operators.near import cells_near_and_inside
 from lamella.operators.skew import dominant_types, key_statistics, ordered_runs
 from lamella.operators.units import cells_in_um, export_resolutions, patch_units, position_units, rings_in_px, slide_resolution, units_found
-from lamella.plans.sql import MPP, SIDE
+from lamella.plans.sql import CELLS, MPP, NOTE, SIDE
 from lamella.session import cut, read
 from lamella.sources.masks import unified
 
@@ -145,7 +145,31 @@ unit AS (
   SELECT s.export_id, m.mpp, coalesce(s.unit, CASE list_position(gaps, list_min(gaps)) WHEN 1 THEN 'px' WHEN 2 THEN 'um' WHEN 3 THEN 'half' ELSE 'share' END) AS unit
   FROM (SELECT s.*, list_transform([1, 1 / m.mpp, 2, k.w], lambda v: abs(ln(CASE WHEN coalesce(k.k, k.w / k.top) > 0 THEN v / coalesce(k.k, k.w / k.top) END))) AS gaps FROM said s JOIN slope k USING (export_id) LEFT JOIN mpp m ON s.slide = m.slide) s
   LEFT JOIN mpp m ON s.slide = m.slide)"""
+#: Names of the units in which values were recorded, by the rules that the values' own SQL has.
+FOUND_SQL = f"""
+cxu AS (
+  SELECT cell_id, coalesce(label, {NOTE}, fit, 'um') AS unit
+  FROM raw r LEFT JOIN deliveries d ON r.delivery_id = d.delivery_id LEFT JOIN best b ON r.delivery_id = b.delivery_id),
+resu AS (
+  SELECT export_id, CASE
+    WHEN u LIKE '%dpi%' OR u LIKE '%inch%' THEN 'px_per_inch' WHEN u LIKE '%cm%' THEN 'px_per_cm' WHEN u LIKE 'nm%' THEN 'nm_per_px' WHEN u LIKE 'mm%' THEN 'mm_per_px' WHEN u IS NOT NULL THEN 'um_per_px'
+    ELSE list_reduce([{{'n': 'um_per_px', 'x': v}}, {{'n': 'nm_per_px', 'x': v / 1e3}}, {{'n': 'mm_per_px', 'x': v * 1e3}}, {{'n': 'px_per_cm', 'x': 1e4 / v}}, {{'n': 'px_per_inch', 'x': 25400 / v}}],
+      lambda a, b: CASE WHEN abs(ln(b.x * m / 10)) < abs(ln(a.x * m / 10)) THEN b ELSE a END).n END AS unit FROM res),
+sizeu AS (
+  SELECT slide_id, CASE
+    WHEN t LIKE '%target%' THEN 'target_px' WHEN t LIKE '%px%' OR t LIKE '%pixel%' THEN 'px' WHEN t LIKE 'mm%' OR t LIKE 'milli%' THEN 'mm' WHEN t IS NOT NULL THEN 'um'
+    WHEN abs(v - side) < 1 THEN 'px' WHEN abs(v * level0_magnification / target_magnification - side) < 1 THEN 'target_px'
+    WHEN abs(v / mpp - side) < 1 THEN 'um' WHEN abs(v * 1000 / mpp - side) < 1 THEN 'mm' END AS unit
+  FROM (SELECT *, patch_size_level0 AS v, lower(nullif(trim(patch_size_unit), '')) AS t FROM slides) JOIN side USING (slide) JOIN mpp USING (slide) WHERE v IS NOT NULL)"""
 SQL: dict[str, str] = {
+    "p2_found": f"""
+WITH {CELLS.replace(MPP, RESOLUTION_SQL)}, {TILE_SQL}, {RING_SQL}, {SIDE}, {FOUND_SQL}
+SELECT DISTINCT * FROM (
+  SELECT 'cells.cx' AS field, cell_id AS record_id, unit FROM cxu WHERE unit <> 'um'
+  UNION ALL SELECT 'cell_masks.inference_mpp', export_id, unit FROM resu WHERE unit <> 'um_per_px'
+  UNION ALL SELECT 'cell_masks.coordinates', export_id, CASE unit WHEN 'half' THEN 'half_px' WHEN 'share' THEN 'tile_fraction' ELSE unit END FROM unit WHERE unit <> 'px'
+  UNION ALL SELECT 'TridentTiling.patch_size_level0', slide_id, unit FROM sizeu WHERE unit <> 'px')
+WHERE record_id IS NOT NULL""",
     "p2_resolutions": f"WITH {RESOLUTION_SQL} SELECT DISTINCT export_id, mpp AS um_per_px FROM fit WHERE export_id IS NOT NULL",
     "p2_ring_points": f"""
 WITH {TILE_SQL}, {MPP}, {RING_SQL}

@@ -20,7 +20,7 @@ mpp AS (
   FROM slides s LEFT JOIN fit f ON s.slide = f.slide GROUP BY 1)"""
 
 _UNIT = "CASE WHEN {0} LIKE '%px%' OR {0} LIKE '%pixel%' THEN 'px' WHEN {0} LIKE 'mm' OR {0} LIKE 'milli%' THEN 'mm' WHEN {0} LIKE 'nm' OR {0} LIKE 'nano%' THEN 'nm' WHEN {0} IS NOT NULL THEN 'um' END"
-_NOTE = """CASE
+NOTE = """CASE
   WHEN note ILIKE '%not multiplied%' OR note ILIKE '%pixel%' OR note ILIKE 'centroids in px%' THEN 'px'
   WHEN note ILIKE '%thousandths of a millimet%' OR note ILIKE '%multiplied by%' OR note ILIKE 'centroids in micro%' OR note ILIKE '%to microns%' OR note ILIKE '%positions in um%' THEN 'um'
   WHEN note ILIKE '%millimet%' OR note ILIKE '%in mm%' OR note ILIKE '%= 1000 um%' THEN 'mm'
@@ -37,7 +37,7 @@ best AS (
     SELECT delivery_id, u, greatest(rx, ry) * f AS r FROM ext, unnest([{{'u': 'um', 'f': 1 / mpp}}, {{'u': 'px', 'f': 1.0}}, {{'u': 'mm', 'f': 1000 / mpp}}, {{'u': 'nm', 'f': 0.001 / mpp}}]) AS x(s), unnest([s.u]) AS y(u), unnest([s.f]) AS z(f))
   WHERE r <= 1.02 GROUP BY 1),
 um AS (
-  SELECT r.*, CASE coalesce(label, {_NOTE}, fit) WHEN 'px' THEN mpp WHEN 'mm' THEN 1e3 WHEN 'nm' THEN 1e-3 ELSE 1.0 END AS f
+  SELECT r.*, CASE coalesce(label, {NOTE}, fit) WHEN 'px' THEN mpp WHEN 'mm' THEN 1e3 WHEN 'nm' THEN 1e-3 ELSE 1.0 END AS f
   FROM raw r LEFT JOIN deliveries d ON r.delivery_id = d.delivery_id LEFT JOIN best b ON r.delivery_id = b.delivery_id LEFT JOIN mpp m ON r.slide = m.slide),
 rolemap AS (SELECT {LABEL.format("cell_type")} AS t, min({LABEL.format("role")}) AS r FROM roles GROUP BY 1),
 cell AS (
