@@ -15,7 +15,7 @@ from lamella.session import Table
 from lamella.sources.cells import load_cells
 from lamella.sources.discovery import cached, slide_files, write_features, write_patch_tables
 from lamella.sources.geojson import edge_features, hull_features, interaction_edges, measured_features, write_collections
-from lamella.sources.masks import read_json_documents
+from lamella.sources.masks import read_split_documents
 
 PATTERNS = ["cell_masks.json", "cell_masks.geojson"]
 
@@ -57,11 +57,13 @@ def _export(spark: SparkSession, a: argparse.Namespace) -> None:
 def _diversity(spark: SparkSession, a: argparse.Namespace) -> None:
     """Diversity of patches (``slide, patch_x_level0, patch_y_level0, patch_px`` as parquet) and slides, and slides without a partner."""
     files = slide_files(spark, a.root, a.pattern or PATTERNS[:1])
-    docs = read_json_documents(spark, list(files.values())).withColumn("slide", F.element_at(F.split("path", "/"), -2)).withColumn("export_id", F.xxhash64("path"))
+    folder = F.element_at(F.split("path", "/"), -2)
+    headers, tiles = read_split_documents(spark, list(files.values()))
+    docs = tiles.select(folder.alias("slide"), F.xxhash64("path", "tile_pos").alias("export_id"), F.array("t").alias("cell_masks"))
     grid = spark.read.parquet(a.patches)
     if patches.off_grid(grid).limit(1).count():
         raise SystemExit("patch corners that are no multiple of their side")
-    found = Table(docs.select("slide", F.col("inference_mpp").alias("mpp")).distinct()).df
+    found = Table(headers.select(folder.alias("slide"), F.col("inference_mpp").alias("mpp")).distinct()).df
     pairs = grid.select("slide").distinct().withColumn("patches", F.lit(True)).join(found.withColumn("cells", F.lit(True)), "slide", "full")
     pairs.select("slide", F.coalesce("patches", F.lit(False)).alias("patches"), F.coalesce("cells", F.lit(False)).alias("cells")).where("not (patches and cells)").write.mode("overwrite").option("header", True).csv(f"{a.out}/unpaired.csv")
     grid = grid.join(found.select("slide"), "slide", "left_semi")

@@ -14,7 +14,7 @@ from lamella.functions import hulls
 from lamella.functions.labels import type_name, with_role
 from lamella.functions.polygons import shape
 from lamella.sources.discovery import read_head
-from lamella.sources.masks import open_ring, read_geojson, read_json_documents
+from lamella.sources.masks import open_ring, read_geojson, read_split_documents
 
 #: Roles of the cell types a segmentation model may give.
 DEFAULT_ROLES = {
@@ -44,7 +44,8 @@ def _rings(spark: SparkSession, paths: list[str]) -> DataFrame:
     own = [p for p in paths if not p.endswith(".geojson")]
     parts = []
     if own:
-        t = read_json_documents(spark, own).select("path", F.col("inference_mpp").alias("mpp"), F.posexplode("cell_masks").alias("ti", "t"))
+        files, tiles = read_split_documents(spark, own)
+        t = tiles.join(files, "path").select("path", F.col("inference_mpp").alias("mpp"), F.col("tile_pos").alias("ti"), "t")
         m = t.select("path", "mpp", "ti", F.col("t.x").alias("x"), F.col("t.y").alias("y"), F.col("t.width").alias("w"), F.col("t.height").alias("h"), F.posexplode("t.masks").alias("mi", "m")).where("size(m.coordinates) >= 3")
         moved = F.transform(open_ring(F.col("m.coordinates")), lambda p: F.array(F.col("x") * F.col("w") + F.get(p, 0), F.col("y") * F.col("h") + F.get(p, 1)))
         parts.append(m.select("path", F.struct("ti", "mi").alias("pos"), F.coalesce("m.cell_type", F.lit("Unknown")).alias("cell_type"), F.coalesce("m.confidence", F.lit(1.0)).alias("confidence"), moved.alias("ring"), "mpp"))

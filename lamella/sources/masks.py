@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lamella.session import cut
+
 MASK = "struct<cell_type:string,confidence:double,centroid:array<double>,coordinates:array<array<double>>>"
 TILE = f"struct<x:bigint,y:bigint,width:bigint,height:bigint,masks:array<{MASK}>>"
 #: Coordinates stay text at first: their points are pairs or objects with x and y.
@@ -42,8 +44,7 @@ def unified(documents: DataFrame) -> DataFrame:
 def read_json_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Cell-mask files, one document a file, as ``path``, ``inference_mpp``, ``cell_masks``.
 
-    A file is one row of one task. Files of many GB should be split to one tile a line at ingest and read with
-    :func:`read_tile_lines`.
+    A file is one row of one task, whatever its form; :func:`read_split_documents` reads files of any size.
     """
     texts = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     doc = F.from_json("value", TEXT_DOCUMENT)
@@ -52,6 +53,51 @@ def read_json_documents(spark: SparkSession, paths: str | list[str]) -> DataFram
     return texts.withColumn("value", checked).select("path", F.coalesce(doc["inference_mpp"], doc["payload"]["inference_mpp"]).alias("inference_mpp"), json_tiles(F.col("value")).alias("cell_masks"))
 
 
+#: What stands between the tiles' masks; a file is cut at every such key, so its parts are read by many tasks.
+MASKS_KEY = '"masks"'
+#: At the end of a piece: tiles without masks, and the fields that the next tile has before its masks.
+NEXT_TILE = r"((?:(?:null|\{[^{}]*\})\s*,\s*)*)\{([^{}]*)$"
+STATED_MPP = r'"inference_mpp"\s*:\s*([-+0-9.eE]+)'
+
+
+def read_split_documents(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Cell-mask files of any size: ``path, inference_mpp`` of every file, and ``path, tile_pos, t`` of its tiles with masks.
+
+    Spark's text source cuts a file at each ``"masks"`` key, and large files are split as any text is. A piece then
+    begins with a tile's masks and ends with the fields of the next tile that come before its masks. Those are handed on
+    within a split of the file by a window; between splits, and for the tiles' numbers, by a table of one row per split.
+    ``tile_pos`` counts all tiles, null ones and those without masks too. Order of fields and white space are free; the
+    fields of a tile other than ``masks`` must be plain values. A file that isn't such a document is an error.
+    """
+    pieces = spark.read.option("lineSep", MASKS_KEY).text(paths)
+    tail = F.substring_index("value", "]", -1)
+    more = F.rlike(tail, F.lit(NEXT_TILE))
+    pieces = pieces.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("k"), "value",
+        F.when(more, F.regexp_extract(tail, NEXT_TILE, 2)).alias("lead"), (F.regexp_count(F.regexp_extract(tail, NEXT_TILE, 1), F.lit(r"(null|\})\s*,")) + 1).cast("bigint").alias("step"),
+    )
+    opens = (F.col("part") == 0) & F.contains("value", F.lit('"cell_masks"'))
+    stated = F.when(opens | F.col("lead").isNull(), F.regexp_extract("value", STATED_MPP, 1))
+    parts = cut(pieces.groupBy("path", "part").agg(F.max_by("lead", "k").alias("lead"), F.sum("step").alias("steps"), F.max(F.nullif(stated, F.lit(""))).alias("mpp"), F.bool_or(opens).alias("opens")))
+    files = parts.groupBy("path").agg(F.max("mpp").cast("double").alias("inference_mpp"), F.bool_or("opens").alias("opens"))
+    files = files.withColumn("inference_mpp", F.when(F.col("opens"), F.col("inference_mpp")).otherwise(F.raise_error(F.concat(F.lit("not a cell-mask document: "), F.col("path"))).cast("double"))).drop("opens")
+    # one row per split of a file
+    through = Window.partitionBy("path").orderBy("part")
+    bounds = parts.select("path", "part", F.lag("lead").over(through).alias("handed"), F.coalesce(F.sum("steps").over(through.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("path", "part").orderBy("k")
+    own = pieces.withColumns({"nth": F.row_number().over(inside), "before": F.lag("lead").over(inside), "since": F.coalesce(F.sum("step").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    # the piece before the first key holds no masks
+    head = (F.col("part") == 0) & (F.col("nth") == 1)
+    own = own.where(~head).join(bounds, ["path", "part"])
+    front = F.from_json(F.concat(F.lit("{"), F.regexp_replace(F.when(F.col("nth") == 1, F.col("handed")).otherwise(F.col("before")), r",\s*$", ""), F.lit("}")), "x bigint, y bigint, width bigint, height bigint")
+    # filters may be put together in any order, so the first piece must not fail here
+    clean = F.when(head | F.rlike("value", F.lit(r"^\s*:")), F.col("value")).otherwise(F.raise_error(F.concat(F.lit('"masks" is no key in '), F.col("path"))))
+    # whatever follows the tile's end is not looked at
+    rows = own.select("path", (F.col("base") + F.col("since") - 1).cast("int").alias("tile_pos"), front.alias("f"), _tile(F.from_json(F.concat(F.lit("{" + MASKS_KEY), clean), TEXT_TILE)).alias("t"))
+    t = F.struct(*[F.coalesce(f"t.{c}", f"f.{c}").alias(c) for c in ("x", "y", "width", "height")], F.col("t.masks").alias("masks")).cast(TILE)
+    return files, rows.select("path", "tile_pos", t.alias("t"))
+
+
 def read_tile_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Tiles as JSON lines ``{slide, x, y, width, height, masks}``: splittable, so a slide of any size is many tasks."""
     return spark.read.schema("slide string, x bigint, y bigint, width bigint, height bigint, masks array<" + MASK + ">").json(paths)

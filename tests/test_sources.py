@@ -6,7 +6,7 @@ from lamella.__main__ import main
 from lamella.sources.cells import load_cells
 from lamella.sources.discovery import cached, slide_files
 from lamella.sources.geojson import cell_features, write_collections
-from lamella.sources.masks import read_geojson, read_json_documents
+from lamella.sources.masks import read_geojson, read_json_documents, read_split_documents
 
 SQUARE = [[0, 0], [8, 0], [8, 8], [0, 8]]
 
@@ -39,6 +39,37 @@ def test_errors(spark, tmp_path):
         read_json_documents(spark, str(tmp_path / "bad.json")).collect()
 
 
+def _tiles(spark, path):
+    files, tiles = read_split_documents(spark, path)
+    assert files.count() == 1
+    return files.first().inference_mpp, sorted((r.tile_pos, r.t) for r in tiles.collect())
+
+
+@pytest.mark.parametrize("split", [300, 7_000, 10_000_000])
+@pytest.mark.parametrize("indent", [None, 1])
+def test_split_documents(spark, tmp_path, split, indent):
+    """Files cut anywhere give the tiles of the whole document: fields in any order, null and mask-less tiles, empty masks."""
+    mask = lambda n: {"coordinates": [[0, 0], [n, 0.5], [8, n]], "cell_type": f'a "masks": ]}}, {{ {n}', "confidence": None if n % 5 == 0 else 0.5}
+    tiles = []
+    for n in range(40):
+        masks = [mask(n), None, {"cell_type": "no ring"}, *[mask(k) for k in range(n % 7)]]
+        place = {"x": n, "y": 2, "width": 100, "height": 50}
+        tiles.append([{**place, "masks": masks}, {"masks": masks, **place}, {"x": n, "y": 3, "masks": [], "width": 100, "height": 50}, {**place, "masks": None}, None, place][n % 6])
+    for name, doc in {"head": {"a": None, "inference_mpp": 0.25, "cell_masks": tiles}, "tail": {"cell_masks": [None, *tiles], "meta": {"n": [1]}, "inference_mpp": 0.25}, "wrapped": {"payload": {"inference_mpp": 0.25, "cell_masks": tiles}}, "empty": {"inference_mpp": 0.25, "cell_masks": []}}.items():
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(doc, indent=indent))
+        whole = read_json_documents(spark, str(path)).first().cell_masks
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        try:
+            mpp, got = _tiles(spark, str(path))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        named = doc.get("payload", doc)["cell_masks"]
+        assert mpp == 0.25 and got == [(i, t) for i, t in enumerate(whole) if t is not None and "masks" in named[i]]
+
+
 def test_geojson(spark, tmp_path):
     poly = lambda ring, kind="Polygon", **p: {"type": "Feature", "geometry": {"type": kind, "coordinates": [ring]}, "properties": p}
     doc = {"type": "FeatureCollection", "features": [poly([*SQUARE, SQUARE[0]], classification={"name": "a"}), poly([[0, 0], [1, 1], [0, 0]]), poly(SQUARE, "MultiPolygon"), poly(SQUARE)]}
