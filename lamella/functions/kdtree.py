@@ -101,19 +101,18 @@ def chord(distance: float, sphere: float) -> float:
     return 2 * np.sin(distance / (2 * sphere))
 
 
-def strictly_inside(x: np.ndarray, y: np.ndarray, by_y: np.ndarray, ring: np.ndarray) -> np.ndarray:
-    """Indices of the points strictly inside a ring, by a sweep of its edges over the points in order of ``y``.
+def strictly_inside(x: np.ndarray, y: np.ndarray, by_y: np.ndarray, *rings: np.ndarray) -> np.ndarray:
+    """Indices of the points strictly inside a region of one or more rings, by a sweep of their edges over the points in order of ``y``.
 
     ``by_y`` orders the points by ``y``. Each edge meets one run of them; it flips the parity of those on its left and
-    marks those that lie on it. Whole coordinates below 2**26 make the test exact.
+    marks those that lie on it, so a ring within a ring is a hole. Whole coordinates below 2**26 make the test exact.
     """
     ys = y[by_y]
-    low, high = np.searchsorted(ys, ring[:, 1].min(), "left"), np.searchsorted(ys, ring[:, 1].max(), "right")
+    low, high = np.searchsorted(ys, min(r[:, 1].min() for r in rings), "left"), np.searchsorted(ys, max(r[:, 1].max() for r in rings), "right")
     px, py = x[by_y[low:high]], ys[low:high]
     odd, rim = np.zeros(high - low, dtype=bool), np.zeros(high - low, dtype=bool)
-    for (x1, y1), (x2, y2) in zip(ring, np.roll(ring, -1, axis=0)):
-        if y1 > y2:
-            x1, y1, x2, y2 = x2, y2, x1, y1
+    for start, end in ((p, q) for r in rings for p, q in zip(r, np.roll(r, -1, axis=0))):
+        (x1, y1), (x2, y2) = (start, end) if start[1] <= end[1] else (end, start)
         a, b = np.searchsorted(py, y1, "left"), np.searchsorted(py, y2, "right")
         if a == b:
             continue

@@ -74,6 +74,12 @@ def home_node(df: DataFrame, splits: DataFrame) -> DataFrame:
     return df.join(splits, "slide").withColumn("node", node_at(F.col("qx"), F.col("qy"))).drop("xcuts", "ycuts")
 
 
+def _starts(ring: np.ndarray) -> np.ndarray:
+    """Where rings but the first begin, once the NaN between them are gone."""
+    gaps = np.flatnonzero(np.isnan(ring[:, 0]))
+    return gaps - np.arange(len(gaps))
+
+
 def _node_worker(radius: int):
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         kind = pdf["kind"].to_numpy()
@@ -98,7 +104,7 @@ def _node_worker(radius: int):
             rings = pdf["ring"].to_numpy()
             for r in regions:
                 ring = np.asarray(rings[r], dtype=float).reshape(-1, 2)
-                inside = here[strictly_inside(hx, hy, by_y, ring)]
+                inside = here[strictly_inside(hx, hy, by_y, *np.split(ring[~np.isnan(ring[:, 0])], _starts(ring)))]
                 out.append(pd.DataFrame({"relation": "inside", "id_a": ids[r], "id_b": ids[inside]}))
         if not out:
             return pd.DataFrame({"relation": pd.Series(dtype=str), "id_a": pd.Series(dtype="int64"), "id_b": pd.Series(dtype="int64")})
@@ -111,7 +117,8 @@ def near_and_inside(points: DataFrame, regions: DataFrame, radius: int, target:
     """``relation, id_a, id_b``: ``near`` pairs of a query and a neighbour of one slide, and points ``inside`` regions.
 
     ``points``: ``slide, id, kind, qx, qy`` (``kind`` QUERY, NEIGHBOUR or OTHER; whole grid steps). ``regions``:
-    ``slide, id, ring`` (``array<double>`` x0, y0, x1, y1 ... in grid steps). ``radius`` in grid steps, itself included.
+    ``slide, id, ring`` (``array<double>`` x0, y0, x1, y1 ... in grid steps; a pair of NaN stands between the rings of a
+    region with holes or several parts). ``radius`` in grid steps, itself included.
     """
     points = cut(points)
     splits = kd_splits(points.select("slide", "qx", "qy"), target)
@@ -119,18 +126,22 @@ def near_and_inside(points: DataFrame, regions: DataFrame, radius: int, target:
     # neighbours go to every node within the radius, other points to their own
     x, y, r = F.col("qx"), F.col("qy"), F.when(F.col("kind") == NEIGHBOUR, radius).otherwise(0)
     copies = to_nodes(points, splits, x - r, x + r, y - r, y + r, (x, y)).select("slide", "node", "id", "kind", "qx", "qy", "home", none.alias("ring"))
-    xs, ys = F.filter("ring", lambda v, i: i % 2 == 0), F.filter("ring", lambda v, i: i % 2 == 1)
+    xs, ys = (F.filter("ring", lambda v, i: (i % 2 == k) & ~F.isnan(v)) for k in (0, 1))
     boxes = to_nodes(regions, splits, F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys))
     boxes = boxes.select("slide", "node", "id", F.lit(REGION).alias("kind"), F.lit(0).cast("bigint").alias("qx"), F.lit(0).cast("bigint").alias("qy"), F.lit(False).alias("home"), "ring")
     every = copies.unionByName(boxes)
     return every.groupBy("slide", "node").applyInPandas(_node_worker(radius), "relation string, id_a bigint, id_b bigint")
 
 
+def on_grid(v: Column, grid: float) -> Column:
+    """``v`` in steps of ``grid``, without the last digits' noise of a whole number of steps."""
+    return F.when(F.abs(v / grid - F.round(v / grid)) < 1e-6, F.round(v / grid)).otherwise(v / grid)
+
+
 def rings_on_grid(rois: DataFrame, grid: float = 0.1) -> DataFrame:
-    """``slide, id, ring``: distinct regions in grid steps; points with a null are left out, then rings under three points."""
-    p = F.filter("ring", lambda q: q.isNotNull() & q["x"].isNotNull() & q["y"].isNotNull())
-    step = lambda v: F.when(F.abs(v / grid - F.round(v / grid)) < 1e-6, F.round(v / grid)).otherwise(v / grid)
-    flat = F.flatten(F.transform(p, lambda q: F.array(step(q["x"]), step(q["y"]))))
+    """``slide, id, ring``: distinct regions in grid steps; points with a null or NaN are left out, then rings under three points."""
+    p = F.filter("ring", lambda q: q.isNotNull() & q["x"].isNotNull() & q["y"].isNotNull() & ~F.isnan(q["x"]) & ~F.isnan(q["y"]))
+    flat = F.flatten(F.transform(p, lambda q: F.array(on_grid(q["x"], grid), on_grid(q["y"], grid))))
     return rois.select("slide", F.col("roi_id").alias("id"), flat.alias("ring")).where("slide is not null and id is not null and size(ring) >= 6").distinct()
 
 

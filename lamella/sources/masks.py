@@ -125,6 +125,18 @@ def read_geojson(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rings.where(F.size("ring") >= 3)
 
 
+def read_regions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Polygons and multipolygons of FeatureCollections with all of their rings: ``path, region, rings``, in px.
+
+    ``region`` is the feature's place. Exteriors and holes of all parts stand in one list, as parity tells them apart.
+    """
+    doc = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.from_json("value", GEOJSON).alias("d"))
+    shapes = doc.select("path", F.posexplode("d.features").alias("region", "f")).select("path", "region", "f.geometry.type", "f.geometry.coordinates")
+    rings = F.when(F.col("type") == "Polygon", F.from_json("coordinates", "array<array<array<double>>>"))
+    rings = rings.when(F.col("type") == "MultiPolygon", F.flatten(F.from_json("coordinates", "array<array<array<array<double>>>>")))
+    return shapes.select("path", "region", rings.alias("rings")).where("rings is not null")
+
+
 def open_ring(points: Column) -> Column:
     """Points without nulls and without one closing point that repeats the first."""
     whole = F.filter(points, lambda p: p.isNotNull())

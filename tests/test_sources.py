@@ -3,10 +3,11 @@ import json
 import pytest
 
 from lamella.__main__ import main
+from lamella.operators.regions import cells_in_regions, regions_on_grid
 from lamella.sources.cells import load_cells
 from lamella.sources.discovery import cached, slide_files
 from lamella.sources.geojson import cell_features, write_collections
-from lamella.sources.masks import read_geojson, read_json_documents, read_split_documents
+from lamella.sources.masks import read_geojson, read_json_documents, read_regions, read_split_documents
 
 SQUARE = [[0, 0], [8, 0], [8, 8], [0, 8]]
 
@@ -45,8 +46,7 @@ def _tiles(spark, path):
     return files.first().inference_mpp, sorted((r.tile_pos, r.t) for r in tiles.collect())
 
 
-@pytest.mark.parametrize("split", [300, 7_000, 10_000_000])
-@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("split, indent", [(500, None), (7_000, 1)])
 def test_split_documents(spark, tmp_path, split, indent):
     """Files cut anywhere give the tiles of the whole document: fields in any order, null and mask-less tiles, empty masks."""
     mask = lambda n: {"coordinates": [[0, 0], [n, 0.5], [8, n]], "cell_type": f'a "masks": ]}}, {{ {n}', "confidence": None if n % 5 == 0 else 0.5}
@@ -78,6 +78,25 @@ def test_geojson(spark, tmp_path):
     assert got == [(0, "a", 1.0, 4), (3, "Unknown", 1.0, 4)]
 
 
+def test_regions(spark, tmp_path):
+    """A hole is out, its rim too; the parts of a multipolygon are one region; places of features are kept."""
+    box = lambda a, b: [[a, a], [b, a], [b, b], [a, b], [a, a]]
+    shape = lambda kind, c: {"type": "Feature", "geometry": {"type": kind, "coordinates": c}, "properties": {}}
+    doc = {"type": "FeatureCollection", "features": [shape("Polygon", [box(0, 20), box(4, 10)]), shape("Point", [1, 1]), shape("MultiPolygon", [[box(0, 3)], [box(6, 20), [[8, 8], [12, 8], [8, 12], [8, 8]]]]), shape("Polygon", [box(0, 1)[:2]])]}
+    (tmp_path / "r.geojson").write_text(json.dumps(doc))
+    regions = regions_on_grid(read_regions(spark, str(tmp_path / "r.geojson")).selectExpr("'S' as slide", "region", "rings", "0.5 as mpp"))
+    at = [(x, y) for x in range(0, 22) for y in range(0, 22)]
+    cells = spark.createDataFrame([("S", i, x * 5, y * 5) for i, (x, y) in enumerate(at)] + [("T", i, x * 5, y * 5) for i, (x, y) in enumerate(at)], "slide string, cell_id bigint, qx bigint, qy bigint")
+    got = {}
+    for r in cells_in_regions(cells, regions).collect():
+        assert r.slide == "S"
+        got.setdefault(r.region, set()).add(at[r.cell_id])
+    within = lambda p, a, b: all(a < v < b for v in p)
+    ring = {p for p in at if within(p, 0, 20) and not all(4 <= v <= 10 for v in p)}
+    parts = {p for p in at if within(p, 0, 3) or (within(p, 6, 20) and not (min(p) >= 8 and sum(p) <= 20))}
+    assert sorted(map(len, got.values())) == sorted([len(ring), len(parts)]) and all(v in (ring, parts) for v in got.values())
+
+
 def test_collections(spark, tmp_path):
     _slide(tmp_path, "S1", [{"coordinates": SQUARE, "cell_type": "a"}, {"coordinates": SQUARE[:2]}])
     docs = read_json_documents(spark, str(tmp_path / "S1")).selectExpr("1L as export_id", "cell_masks")
